@@ -9,7 +9,7 @@ from stratalake.operators.joins import join_as_of, valid_on
 from stratalake.operators.merge import Insert, Update, merge
 from stratalake.operators.quality import reconcile as reconcile_counts
 from stratalake.plans.propagation import propagate, write_feed
-from stratalake.sources.storage import load_version, work_dir
+from stratalake.sources.storage import load_version, stored, work_dir
 
 # Shared blocks. b = target before, s = source, m = merged, a = after deletes, a2 = after a second round.
 _UPSERT = """
@@ -77,7 +77,8 @@ def _after_2(after):
 
 
 def _round_1(spark, sf_dir):
-    return feed.change_feed(_before(spark, sf_dir), _after(spark, sf_dir), ["k"], version=1, timestamp="2024-01-01")
+    after = stored(_after(spark, sf_dir), "after")
+    return feed.change_feed(_before(spark, sf_dir), after, ["k"], version=1, timestamp="2024-01-01")
 
 
 # --- upsert and DML --------------------------------------------------------
@@ -136,7 +137,7 @@ def merge_by_source(spark, sf_dir):
 
 @query(f"WITH {_UPSERT} SELECT k, st, p FROM a")
 def cdc_apply(spark, sf_dir):
-    return feed.apply_feed(_before(spark, sf_dir), _round_1(spark, sf_dir), ["k"])
+    return feed.apply_feed(_before(spark, sf_dir), stored(_round_1(spark, sf_dir), "feed"), ["k"])
 
 
 @query("""

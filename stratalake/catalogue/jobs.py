@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from stratalake.catalogue import query, table
 from stratalake.plans import kpi, retail, reviews, sales
+from stratalake.sources.storage import stored
 
 MONEY = "decimal(18,2)"
 
@@ -163,7 +164,7 @@ FROM silver WHERE estado = 'cancelada'
 """)
 def silver_sales_merged(spark, sf_dir):
     """A second batch settles large pending lines and brings rebooked lines under new keys."""
-    silver = _sales_silver(spark, sf_dir)
+    silver = stored(_sales_silver(spark, sf_dir), "silver")
     settled = silver.filter("estado = 'pendiente' AND monto_total > 50000")
     rebooked = silver.filter("estado = 'cancelada'").withColumn("orden_id", F.concat(F.lit("W"), "orden_id"))
     rekeyed = rebooked.withColumn("venta_sk", F.sha2(F.concat_ws("|", "orden_id", F.col("linea_id").cast("string")), 256))
@@ -280,7 +281,8 @@ _BI = ", ".join(
 
 @query(f"WITH {_ANALYTIC} SELECT {_BI} FROM gold")
 def bi_view(spark, sf_dir):
-    return kpi.bi_view(kpi.analytic(kpi.sales_kpi(_kpi_silver(spark, sf_dir))))
+    gold = stored(kpi.sales_kpi(_kpi_silver(spark, sf_dir)), "gold")
+    return kpi.bi_view(kpi.analytic(gold))
 
 
 @query(f"""
@@ -291,7 +293,7 @@ SELECT * REPLACE (CASE WHEN mes = 1 THEN CAST(venta_neta * CAST(1.05 AS DECIMAL(
 FROM kpi
 """)
 def merge_kpi(spark, sf_dir):
-    gold = kpi.sales_kpi(_kpi_silver(spark, sf_dir))
+    gold = stored(kpi.sales_kpi(_kpi_silver(spark, sf_dir)), "gold")
     factor = F.lit("1.05").cast("decimal(3,2)")
     recalculated = gold.filter("mes = 1").withColumns(
         {c: (F.col(c) * factor).cast(MONEY) for c in ("venta_neta", "margen_bruto_total")}

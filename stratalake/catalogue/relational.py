@@ -12,6 +12,7 @@ from stratalake.operators.ordering import balanced_buckets
 from stratalake.operators.quality import layer_delta as count_delta
 from stratalake.plans import reports
 from stratalake.plans.reviews import sentiment
+from stratalake.sources.storage import stored
 from stratalake.sources.tables import register
 
 MONEY = "decimal(18,2)"
@@ -286,11 +287,11 @@ SELECT brand, pr, y, mo, v, rk, drk, ytd, prev,
 FROM c
 """)
 def gold_windows(spark, sf_dir):
-    g = monthly_sales(spark, sf_dir)
+    g = stored(monthly_sales(spark, sf_dir), "gold")
     series = ["brand", "pr", "y"]
     df = with_ranks(g, ["pr", "y", "mo"], "v", "rk", "drk")
     df = with_running_total(df, series, "mo", "v", "ytd", "decimal(28,2)")
-    df = with_percent_change(with_previous(df, series, "mo", "v", "prev"), "v", "prev", "change_pct")
+    df = with_percent_change(with_previous(df, series, "mo", "v", "prev", None), "v", "prev", "change_pct")
     return df.withColumns(
         {
             "rk": F.col("rk").cast("bigint"),
@@ -300,6 +301,22 @@ def gold_windows(spark, sf_dir):
     )
 
 
+_RANKS = """
+SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity,
+       CAST(rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC) AS BIGINT) AS rk,
+       CAST(dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC) AS BIGINT) AS drk
+FROM lineitem
+"""
+
+
+@query(_RANKS)
+def ranks_hot_groups(spark, sf_dir):
+    """Three groups, each about a third of the table, with every group treated as too large for one task."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    ranked = with_ranks(lines, ["l_returnflag"], "l_quantity", "rk", "drk", max_rows_per_group=0)
+    return ranked.withColumns({"rk": F.col("rk").cast("bigint"), "drk": F.col("drk").cast("bigint")})
+
+
 @query("""
 SELECT * FROM (
   SELECT CAST(year(o_orderdate) AS BIGINT) AS y, o_orderstatus, o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS price,

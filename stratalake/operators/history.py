@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.columns import ColumnLike, as_column, is_true, key_hash
 from stratalake.operators.merge import one_row_per_key
-from stratalake.operators.ordering import MAX_ROWS_PER_KEY, with_next
+from stratalake.operators.ordering import MAX_ROWS_PER_KEY, with_neighbour
 from stratalake.operators.quality import guard
 
 START, END = "__START_AT", "__END_AT"
@@ -58,7 +58,7 @@ def scd2(
     `max_rows_per_key` events is worked on by several tasks.
     """
     started = events.withColumn(START, as_column(sequence_by))
-    ended = with_next(started, list(keys), [START, *tiebreak], START, END, max_rows_per_key)
+    ended = with_neighbour(started, list(keys), [START, *tiebreak], START, END, 1, max_rows_per_key)
     in_force = F.col(END).isNull() | (F.col(END) > F.col(START))
     return ended.filter(in_force & ~is_true(delete_when)).drop(*except_columns)
 
@@ -152,7 +152,6 @@ def scd2_apply(
     )
     kept = joined.select(F.inline(versions))
 
-    wanted = batch.select(*keys).distinct()
-    found = current.select(*keys).join(wanted, keys, "left_semi")
+    found = current.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
     fresh = batch.join(found, keys, "left_anti").alias("s").select(row(new_values, "s").alias("r")).select("r.*")
     return dim.filter("NOT is_current").unionByName(kept).unionByName(fresh)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.operators.ordering import MAX_ROWS_PER_KEY, has_hot_key, range_chunks
+from stratalake.operators.ordering import MAX_ROWS_PER_KEY, carry_in, has_hot_key, range_chunks
 
 BROADCAST_ROWS = 200_000
 
@@ -129,37 +129,13 @@ def _carry_version(fact, dim, keys, at, columns, valid_from, valid_to, how, max_
 def _carry_over_chunks(timeline: DataFrame, keys: list[str]) -> DataFrame:
     """Carry forward where one key may span many tasks: within chunks, then across their ends."""
     chunks = range_chunks(timeline, keys, ["_at", "_kind"])
-    key = F.struct(*keys)
-    # Last key of each chunk with the last version it saw there: one row per chunk.
-    ends = (
-        chunks.groupBy("_chunk", *keys)
-        .agg(
-            F.max_by("_version", F.when(F.col("_version").isNotNull(), F.struct("_at", "_row"))).alias("_tail"),
-        )
-        .groupBy("_chunk")
-        .agg(
-            F.min(key).alias("_first_key"),
-            F.max(F.struct(key.alias("key"))).alias("_last"),
-            F.max_by("_tail", key).alias("_tail"),
-        )
-    )
-    # One row per chunk, so a window over all of them stays as small as the number of partitions.
-    by_last = Window.partitionBy("_last").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
-    in_order = Window.orderBy("_chunk")
-    carry = (
-        ends.withColumn("_out", F.last("_tail", ignorenulls=True).over(by_last))
-        .withColumn("_prev_key", F.lag("_last.key").over(in_order))
-        .withColumn("_prev_out", F.lag("_out").over(in_order))
-        .select(
-            "_chunk",
-            F.col("_first_key").alias("_carry_key"),
-            F.when(F.col("_prev_key").eqNullSafe(F.col("_first_key")), F.col("_prev_out")).alias("_carry"),
-        )
-    )
+    when_seen = F.when(F.col("_version").isNotNull(), F.struct("_at", "_row"))
+    last_seen = chunks.groupBy("_chunk", *keys).agg(F.max_by("_version", when_seen).alias("version"))
+    carried = carry_in(last_seen, keys, {"version": lambda c: F.last(c, ignorenulls=True)})
     w = Window.partitionBy("_chunk", *keys).orderBy("_at", "_kind", "_row").rowsBetween(Window.unboundedPreceding, 0)
-    found = F.last("_version", ignorenulls=True).over(w)
+    inherited = F.when(F.struct(*keys).eqNullSafe(F.col("_carry_key")), F.col("_carry_version"))
     return (
-        chunks.withColumn("_inside", found)
-        .join(F.broadcast(carry), "_chunk", "left")
-        .withColumn("_found", F.coalesce("_inside", F.when(key.eqNullSafe(F.col("_carry_key")), F.col("_carry"))))
+        chunks.withColumn("_inside", F.last("_version", ignorenulls=True).over(w))
+        .join(F.broadcast(carried), "_chunk", "left")
+        .withColumn("_found", F.coalesce("_inside", inherited))
     )

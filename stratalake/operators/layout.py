@@ -48,17 +48,21 @@ def _cut_points(df: DataFrame, columns: Sequence[str], pieces: int, sample_rows:
     return cuts
 
 
-def _marks_up_to(value: Column, marks: list) -> Column:
-    return F.size(F.filter(F.array(*[F.lit(m) for m in marks]), lambda m: m <= value))
+def _marks_up_to(value: Column, marks: list, base: int = 0) -> Column:
+    """How many of the sorted marks are <= value, by halving."""
+    if not marks:
+        return F.lit(base)
+    middle = len(marks) // 2
+    return F.when(
+        value >= F.lit(marks[middle]), _marks_up_to(value, marks[middle + 1 :], base + middle + 1)
+    ).otherwise(_marks_up_to(value, marks[:middle], base))
 
 
 def z_value(columns: Sequence[str], cuts: dict[str, list], bits: int) -> Column:
     """Bits of each column's quantile number, interleaved."""
     z = F.lit(0).cast("bigint")
     for i, c in enumerate(columns):
-        number = F.lit(0)
-        if cuts[c]:
-            number = F.coalesce(_marks_up_to(F.col(c), cuts[c]), F.lit(0))
+        number = _marks_up_to(F.col(c), cuts[c])
         for b in range(bits):
             bit = F.shiftright(number, b).bitwiseAND(F.lit(1)).cast("bigint")
             z = z.bitwiseOR(F.shiftleft(bit, b * len(columns) + i))
@@ -71,7 +75,8 @@ def zorder(
     """Cluster rows so that files have a narrow range in each of `columns`.
 
     The row id as the last range key lets equal rows, however many, be spread
-    over several files. Write the result as it is: one file per partition.
+    over several files. Give it a stored table: the order of a file scan makes
+    row ids repeatable. Write the result as it is, one file per partition.
     """
     cuts = _cut_points(df, columns, 2**bits, sample_rows)
     placed = df.withColumns({"_z": z_value(columns, cuts, bits), "_row": F.monotonically_increasing_id()})

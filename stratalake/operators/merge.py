@@ -75,7 +75,8 @@ def merge(
     The target is only ever the streamed side of left and semi joins: a source
     small enough for Spark to broadcast merges into a table of any size without
     shuffling that table, and otherwise AQE can split a skewed key. (A full outer
-    join allows neither.)
+    join allows neither.) The source is read more than once, so give it as a
+    table rather than as a costly computation.
     """
     keys = list(on)
     rows = target
@@ -122,7 +123,7 @@ def _target_rows(target, source, keys, matched, unmatched, null_safe, source_uni
 
 def _inserted_rows(target, source, keys, not_matched, null_safe):
     # Only target keys that occur in the source are kept, so this stays as small as the source.
-    wanted = source.select(*keys).distinct()
+    wanted = source.select(*keys)
     found = target.select(*keys).alias("t").join(wanted.alias("s"), _same_key(keys, null_safe), "left_semi").distinct()
     fresh = source.alias("s").join(found.alias("t"), _same_key(keys, null_safe), "left_anti").alias("s")
     action = reduce(

@@ -3,18 +3,70 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.columns import percent_change
+from stratalake.operators.ordering import MAX_ROWS_PER_KEY, carry_in, has_hot_key, range_chunks, with_neighbour
 
 
-def with_ranks(df: DataFrame, group: Sequence[str], by: str, rank: str, dense_rank: str | None = None) -> DataFrame:
-    """rank (and dense rank) of `by`, highest first, within each group."""
-    w = Window.partitionBy(*group).orderBy(F.col(by).desc())
-    ranked = df.withColumn(rank, F.rank().over(w))
-    return ranked.withColumn(dense_rank, F.dense_rank().over(w)) if dense_rank else ranked
+def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_r_{c}"]) for c in columns])
+
+
+def _join_back(df: DataFrame, side: DataFrame, on: Sequence[str], added: Sequence[str]) -> DataFrame:
+    right = side.select(*[F.col(c).alias(f"_r_{c}") for c in on], *added)
+    return df.join(right, _same(df, right, on), "left").drop(*[f"_r_{c}" for c in on])
+
+
+def with_ranks(
+    df: DataFrame,
+    group: Sequence[str],
+    by: str,
+    rank: str,
+    dense_rank: str | None = None,
+    max_rows_per_group: int | None = MAX_ROWS_PER_KEY,
+) -> DataFrame:
+    """rank (and dense rank) of a numeric column, highest first, within each group.
+
+    Where a group is too large for one task, ranks are found for its distinct
+    values, in chunks, and joined back.
+    """
+    names = [rank, *([dense_rank] if dense_rank else [])]
+    if not has_hot_key(df, group, max_rows_per_group):
+        w = Window.partitionBy(*group).orderBy(F.col(by).desc())
+        return df.withColumns(dict(zip(names, [F.rank().over(w), F.dense_rank().over(w)])))
+
+    values = df.groupBy(*group, by).agg(F.count(F.lit(1)).alias("_n"))
+    values = values.withColumns({"_last": F.col(by).isNull(), "_down": -F.col(by)})
+    chunks = range_chunks(values, group, ["_last", "_down"])
+    totals = chunks.groupBy("_chunk", *group).agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("values"))
+    carried = carry_in(totals, group, {"rows": F.sum, "values": F.sum})
+    inner = Window.partitionBy("_chunk", *group).orderBy("_last", "_down")
+    above = inner.rowsBetween(Window.unboundedPreceding, -1)
+    continues = F.struct(*group).eqNullSafe(F.col("_carry_key"))
+
+    def carry(name: str) -> Column:
+        return F.coalesce(F.when(continues, F.col(f"_carry_{name}")), F.lit(0))
+
+    ranked = (
+        chunks.withColumns({"_above": F.coalesce(F.sum("_n").over(above), F.lit(0)), "_nth": F.row_number().over(inner)})
+        .join(F.broadcast(carried), "_chunk", "left")
+        .withColumns(
+            dict(
+                zip(
+                    names,
+                    [
+                        (F.col("_above") + carry("rows") + 1).cast("int"),
+                        (F.col("_nth") + carry("values")).cast("int"),
+                    ],
+                )
+            )
+        )
+    )
+    return _join_back(df, ranked, [*group, by], names)
 
 
 def with_running_total(
@@ -23,15 +75,27 @@ def with_running_total(
     """Sum of `value` up to and including the row's `order` value.
 
     Rows that share an `order` value get the same total, so the result does not
-    depend on how such ties happen to be sorted.
+    depend on how such ties happen to be sorted. Values are summed per group and
+    `order` first; the window then runs over that small table, however many rows
+    a group has.
     """
-    w = Window.partitionBy(*group).orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(name, F.sum(value).over(w).cast(dtype))
+    steps = df.groupBy(*group, order).agg(F.sum(value).alias("_step"))
+    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = steps.withColumn(name, F.sum("_step").over(w).cast(dtype))
+    return _join_back(df, totals, [*group, order], [name])
 
 
-def with_previous(df: DataFrame, group: Sequence[str], order: str | Sequence[str], value: str, name: str) -> DataFrame:
+def with_previous(
+    df: DataFrame,
+    group: Sequence[str],
+    order: str | Sequence[str],
+    value: str,
+    name: str,
+    max_rows_per_group: int | None = MAX_ROWS_PER_KEY,
+) -> DataFrame:
+    """`value` of the row before, within each group."""
     by = [order] if isinstance(order, str) else list(order)
-    return df.withColumn(name, F.lag(value, 1).over(Window.partitionBy(*group).orderBy(*by)))
+    return with_neighbour(df, group, by, value, name, -1, max_rows_per_group)
 
 
 def with_percent_change(df: DataFrame, current: str, previous: str, name: str, scale: int = 2) -> DataFrame:
@@ -41,4 +105,5 @@ def with_percent_change(df: DataFrame, current: str, previous: str, name: str, s
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], by: str, n: int, name: str = "rank") -> DataFrame:
     """Rows with rank <= n. Spark applies the limit on the map side before it shuffles."""
-    return with_ranks(df, group, by, name).filter(F.col(name) <= n)
+    w = Window.partitionBy(*group).orderBy(F.col(by).desc())
+    return df.withColumn(name, F.rank().over(w)).filter(F.col(name) <= n)

@@ -7,7 +7,7 @@ so that a key spans as many tasks as it needs, and only the chunk ends are stitc
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +30,12 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    # Row ids depend on the order of rows within a partition. Reading them back
+    # from storage fixes that order, also for a task that runs a second time.
+    return cut_lineage(df).withColumn("_row", F.monotonically_increasing_id())
+
+
 def range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Rows in global (keys, order) order, cut into balanced chunks numbered by `_chunk`.
 
@@ -37,44 +43,75 @@ def range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], parti
     be cut apart. The result is checkpointed: cut points come from a sample, and
     all readers must see the same ones.
     """
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    ranged = numbered.repartitionByRange(partitions or _partitions(df), *keys, *order, "_row")
+    ranged = _numbered(df).repartitionByRange(partitions or _partitions(df), *keys, *order, "_row")
     return cut_lineage(ranged.withColumn("_chunk", F.spark_partition_id()))
 
 
-def with_next(
+def carry_in(
+    per_key: DataFrame, keys: Sequence[str], combine: Mapping[str, Callable[[Column], Column]]
+) -> DataFrame:
+    """What each chunk inherits from the chunks before it.
+
+    `per_key` has one row per chunk and key, with a column for each name in
+    `combine`. A key that continues from one chunk into the next is the last of
+    the former and the first of the latter, so one row per chunk is enough: the
+    key that continues, as `_carry_key`, and its values combined so far.
+    """
+    key, names = F.struct(*keys), list(combine)
+    ends = per_key.groupBy("_chunk").agg(
+        F.min(key).alias("_first"), F.max(key).alias("_last"), F.max_by(F.struct(*names), key).alias("_values")
+    )
+    # These windows run over one row per chunk.
+    so_far = Window.partitionBy("_last").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
+    in_order = Window.orderBy("_chunk")
+    out = ends.withColumns({f"_out_{n}": fn(F.col(f"_values.{n}")).over(so_far) for n, fn in combine.items()})
+    before = out.withColumns(
+        {"_before": F.lag("_last").over(in_order), **{f"_in_{n}": F.lag(f"_out_{n}").over(in_order) for n in names}}
+    )
+    continues = F.col("_before").eqNullSafe(F.col("_first"))
+    return before.select(
+        "_chunk",
+        F.col("_first").alias("_carry_key"),
+        *[F.when(continues, F.col(f"_in_{n}")).alias(f"_carry_{n}") for n in names],
+    )
+
+
+def with_neighbour(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
     name: str,
+    step: int,
     max_rows_per_key: int | None = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
-    """Add `value` of the next row of the same key in `order`; NULL on the last one."""
+    """Add `value` of the next (step 1) or previous (step -1) row of the same key in `order`."""
+    shift = F.lead if step > 0 else F.lag
     if not has_hot_key(df, keys, max_rows_per_key):
-        return df.withColumn(name, F.lead(value).over(Window.partitionBy(*keys).orderBy(*order)))
+        return df.withColumn(name, shift(value).over(Window.partitionBy(*keys).orderBy(*order)))
 
     chunks = range_chunks(df, keys, order)
     key = F.struct(*keys)
     inner = Window.partitionBy("_chunk", *keys).orderBy(*order, "_row")
-    last_in_chunk = F.lead(F.lit(True)).over(inner).isNull()
-    # The first row of each chunk: as many rows as there are partitions.
-    heads = chunks.groupBy("_chunk").agg(
-        F.min(F.struct(key.alias("key"), F.struct(*order, "_row").alias("at"), F.col(value).alias("value"))).alias("h")
+    # The row at the near end of each chunk: as many rows as there are partitions.
+    edge = F.struct(key.alias("key"), F.struct(*order, "_row").alias("at"), F.col(value).alias("value"))
+    edges = chunks.groupBy("_chunk").agg((F.min(edge) if step > 0 else F.max(edge)).alias("edge"))
+    beside = edges.select(
+        "_chunk",
+        shift("edge.key").over(Window.orderBy("_chunk")).alias("_k"),
+        shift("edge.value").over(Window.orderBy("_chunk")).alias("_v"),
     )
-    in_order = Window.orderBy("_chunk")
-    following = heads.select("_chunk", F.lead("h.key").over(in_order).alias("_k"), F.lead("h.value").over(in_order).alias("_v"))
     return (
-        chunks.withColumn("_inner", F.lead(value).over(inner))
-        .withColumn("_end", last_in_chunk)
-        .join(F.broadcast(following), "_chunk", "left")
+        chunks.withColumn("_inner", shift(value).over(inner))
+        .withColumn("_end", shift(F.lit(True)).over(inner).isNull())
+        .join(F.broadcast(beside), "_chunk", "left")
         .withColumn(name, F.when(~F.col("_end"), F.col("_inner")).when(F.col("_k").eqNullSafe(key), F.col("_v")))
         .drop("_row", "_chunk", "_inner", "_end", "_k", "_v")
     )
 
 
 def balanced_buckets(
-    df: DataFrame, order: Sequence[str | Column], buckets: int, name: str = "bucket", partitions: int | None = None
+    df: DataFrame, order: Sequence[str], buckets: int, name: str = "bucket", partitions: int | None = None
 ) -> DataFrame:
     """Split rows in `order` into `buckets` groups whose sizes differ by at most one.
 
@@ -83,18 +120,13 @@ def balanced_buckets(
     a row's global position is its position inside its chunk plus the rows of
     all chunks before it.
     """
-    by = [f"_by_{i}" for i in range(len(order))]
-    keyed = df.withColumns({b: F.col(o) if isinstance(o, str) else o for b, o in zip(by, order)})
-    numbered = keyed.withColumn("_row", F.monotonically_increasing_id())
-    ranged = numbered.repartitionByRange(partitions or _partitions(df), *by, "_row").sortWithinPartitions(*by, "_row")
+    ranged = _numbered(df).repartitionByRange(partitions or _partitions(df), *order, "_row")
+    sorted_rows = ranged.sortWithinPartitions(*order, "_row").drop("_row")
     # The id's low 33 bits count rows inside a partition, its high bits number the partition.
-    low = (1 << 33) - 1
-    placed = cut_lineage(
-        ranged.withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_pos", F.col("_id").bitwiseAND(F.lit(low)))
-        .withColumn("_chunk", F.shiftright("_id", 33))
-        .drop("_id", "_row", *by)
-    )
+    placed = cut_lineage(sorted_rows.withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.withColumns(
+        {"_pos": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)), "_chunk": F.shiftright("_id", 33)}
+    ).drop("_id")
     sizes = placed.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -102,15 +134,15 @@ def balanced_buckets(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_total"),
     )
-    position = F.col("_before") + F.col("_pos")
-    small = F.expr(f"_total div {buckets}")
-    larger = F.col("_total") % buckets  # the first groups take one row more
-    edge = larger * (small + 1)
-    bucket = F.when(position < edge, F.expr(f"(_before + _pos) div (_total div {buckets} + 1)")).otherwise(
-        larger + F.try_divide(position - edge, small).cast("bigint")
-    )
+    # The first `_total % buckets` groups have one row more than the others.
+    bucket = F.expr(f"""
+        CASE WHEN _before + _pos < (_total % {buckets}) * (_total div {buckets} + 1)
+             THEN (_before + _pos) div (_total div {buckets} + 1)
+             ELSE _total % {buckets}
+                  + (_before + _pos - (_total % {buckets}) * (_total div {buckets} + 1)) div (_total div {buckets})
+        END + 1""")
     return (
         placed.join(F.broadcast(offsets), "_chunk")
-        .withColumn(name, (bucket + 1).cast("int"))
+        .withColumn(name, bucket.cast("int"))
         .drop("_pos", "_chunk", "_before", "_total")
     )

@@ -90,14 +90,15 @@ def analytic(kpi: DataFrame) -> DataFrame:
 
     Year to date runs over whole months of a region. The previous month is that
     of the same row of the grain, so both are well defined where many rows share
-    a month.
+    a month. A series has one row per month, so its window needs no size check.
+    The KPI table is read several times; give it as a stored table.
     """
     series = [c for c in GRAIN if c not in ("trimestre", "mes")]
     ranked = with_ranks(
         kpi, ["region", "anio", "mes"], "venta_neta", "rank_categoria_region_mes", "dense_rank_categoria"
     )
     summed = with_running_total(ranked, ["region", "anio"], "mes", "venta_neta", "venta_neta_ytd")
-    lagged = with_previous(summed, series, "mes", "venta_neta", "venta_neta_mes_anterior")
+    lagged = with_previous(summed, series, "mes", "venta_neta", "venta_neta_mes_anterior", None)
     return with_percent_change(lagged, "venta_neta", "venta_neta_mes_anterior", "variacion_mes_pct")
 
 

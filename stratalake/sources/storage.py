@@ -32,6 +32,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` once to a work folder and return the scan of it."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def save_version(df: DataFrame, root: str, version: int) -> None:
     """Write one state of a small control table. A replay rewrites the same folder."""
     df.write.mode("overwrite").parquet(f"{root}/_version={version}")
