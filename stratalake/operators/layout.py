@@ -58,14 +58,13 @@ def _marks_up_to(value: Column, marks: list, base: int = 0) -> Column:
     ).otherwise(_marks_up_to(value, marks[:middle], base))
 
 
-def z_value(columns: Sequence[str], cuts: dict[str, list], bits: int) -> Column:
-    """Bits of each column's quantile number, interleaved."""
+def z_value(numbers: Sequence[Column], bits: int) -> Column:
+    """The bits of several numbers, interleaved."""
     z = F.lit(0).cast("bigint")
-    for i, c in enumerate(columns):
-        number = _marks_up_to(F.col(c), cuts[c])
+    for i, number in enumerate(numbers):
         for b in range(bits):
             bit = F.shiftright(number, b).bitwiseAND(F.lit(1)).cast("bigint")
-            z = z.bitwiseOR(F.shiftleft(bit, b * len(columns) + i))
+            z = z.bitwiseOR(F.shiftleft(bit, b * len(numbers) + i))
     return z
 
 
@@ -74,14 +73,22 @@ def zorder(
 ) -> DataFrame:
     """Cluster rows so that files have a narrow range in each of `columns`.
 
-    The row id as the last range key lets equal rows, however many, be spread
-    over several files. Give it a stored table: the order of a file scan makes
-    row ids repeatable. Write the result as it is, one file per partition.
+    Columns are replaced by their quantile number for the purpose. The row id as
+    the last range key lets equal rows, however many, be spread over several
+    files. Give it a stored table: the order of a file scan makes row ids
+    repeatable. Write the result as it is, one file per partition.
     """
     cuts = _cut_points(df, columns, 2**bits, sample_rows)
-    placed = df.withColumns({"_z": z_value(columns, cuts, bits), "_row": F.monotonically_increasing_id()})
+    numbers = {f"_q{i}": _marks_up_to(F.col(c), cuts[c]) for i, c in enumerate(columns)}
+    # In a projection of their own, the numbers are computed once and not once per bit.
+    placed = df.withColumns(numbers).withColumns(
+        {"_z": z_value([F.col(q) for q in numbers], bits), "_row": F.monotonically_increasing_id()}
+    )
     return (
-        placed.repartitionByRange(files, "_z", "_row").sortWithinPartitions("_z", *columns).drop("_z", "_row")
+        placed.drop(*numbers)
+        .repartitionByRange(files, "_z", "_row")
+        .sortWithinPartitions("_z", *columns)
+        .drop("_z", "_row")
     )
 
 
