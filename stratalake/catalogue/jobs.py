@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from stratalake.catalogue import query, table
+from stratalake.operators.merge import Insert, Update, merge_partitions
 from stratalake.plans import kpi, retail, reviews, sales
-from stratalake.sources.storage import stored
+from stratalake.sources.storage import stored, work_dir
+from stratalake.sources.tables import write_parquet
 
 MONEY = "decimal(18,2)"
 
@@ -301,6 +303,33 @@ def merge_kpi(spark, sf_dir):
     return kpi.merge_recalculated(gold, recalculated).drop("dw_updated_at")
 
 
+@query(f"""
+WITH {_KPI_SILVER}, {_kpi_aggregate(', '.join(kpi.GRAIN))}
+SELECT * REPLACE (CASE WHEN mes = 1 AND anio = 1997 THEN CAST(venta_neta * CAST(1.05 AS DECIMAL(3,2)) AS DECIMAL(18,2))
+                       ELSE venta_neta END AS venta_neta)
+FROM kpi
+""")
+def merge_kpi_partitions(spark, sf_dir):
+    """The stored KPI table is partitioned by year and region; one year's partitions are rewritten."""
+    path = work_dir(spark, "gold")
+    gold = kpi.sales_kpi(_kpi_silver(spark, sf_dir)).drop("dw_updated_at")
+    write_parquet(gold, path, partition_by=["anio", "region"])
+    january = stored(spark.read.parquet(path).filter("mes = 1 AND anio = 1997"), "recalculated").withColumn(
+        "venta_neta", (F.col("venta_neta") * F.lit("1.05").cast("decimal(3,2)")).cast(MONEY)
+    )
+    merge_partitions(
+        spark,
+        path,
+        january,
+        kpi.GRAIN,
+        ["anio", "region"],
+        matched=[Update({"venta_neta": "s.venta_neta"})],
+        not_matched=[Insert()],
+        null_safe=True,
+    )
+    return spark.read.parquet(path)
+
+
 # --- reviews ---------------------------------------------------------------
 
 

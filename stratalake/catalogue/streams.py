@@ -64,13 +64,23 @@ def stream_scd1(spark, sf_dir):
     return cdc.read_scd1(spark, log, ["user_id"], ["ts", "event_id"], ["event_id"])
 
 
+def _event_log(spark, sf_dir):
+    log = work_dir(spark, "scd2")
+    cdc.stream_scd2(_event_stream(spark, sf_dir), **CDC, log=log, checkpoint=work_dir(spark, "stream"), buckets=8)
+    return log
+
+
 @query(_SCD2)
 def stream_scd2(spark, sf_dir):
-    log = work_dir(spark, "scd2")
-    cdc.stream_scd2(
-        _event_stream(spark, sf_dir), CDC["sequence_by"], CDC["delete_when"], log=log, checkpoint=work_dir(spark, "stream")
-    )
-    rows = cdc.read_scd2(spark, log, ["user_id"], ["ts", "event_id"], ["event_id"])
+    rows = cdc.read_scd2(spark, _event_log(spark, sf_dir), ["user_id"], ["ts", "event_id"], ["event_id"])
+    return rows.withColumnsRenamed({"__START_AT": "start_at", "__END_AT": "end_at"})
+
+
+@query(_SCD2)
+def stream_scd2_stored(spark, sf_dir):
+    log, target, progress = _event_log(spark, sf_dir), work_dir(spark, "history"), work_dir(spark, "progress")
+    cdc.refresh_scd2(spark, log, target, progress, ["user_id"], ["ts", "event_id"], ["event_id"])
+    rows = spark.read.parquet(target).drop("_bucket")
     return rows.withColumnsRenamed({"__START_AT": "start_at", "__END_AT": "end_at"})
 
 

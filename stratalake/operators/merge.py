@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.functions.columns import ColumnLike, as_column, is_true
 from stratalake.operators.drift import evolve
 from stratalake.operators.quality import guard
+from stratalake.sources.storage import stored
 
 # In clause conditions and values, target columns are `t.<name>` and source columns `s.<name>`.
 ALL = "*"
@@ -151,6 +152,38 @@ def _value(values: Mapping[str, ColumnLike] | str, name: str) -> Column | None:
     return as_column(values[name]) if name in values else None
 
 
+def merge_partitions(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    on: Sequence[str],
+    partition_by: Sequence[str],
+    matched: Sequence[Update] = (),
+    not_matched: Sequence[Insert] = (),
+    **options: bool,
+) -> None:
+    """Merge into a partitioned table, reading and rewriting only the partitions the source touches.
+
+    The partition columns must be part of the key and not NULL. The new content is complete in
+    storage before any old partition is replaced, and merging again gives the
+    same table. Deletes are not offered: a partition left without rows would not
+    be replaced.
+    """
+    if not set(partition_by) <= set(on):
+        raise ValueError("partition columns must be part of the key")
+    if any(isinstance(clause, Delete) for clause in matched):
+        raise ValueError("merge_partitions cannot delete")
+    for column in partition_by:
+        source = guard(source, F.col(column).isNotNull(), f"NULL in partition column {column}")
+    touched = source.select(*partition_by).distinct()
+    # Spark prunes the table's partitions by this join when it runs.
+    target = spark.read.parquet(path).join(touched, list(partition_by), "left_semi")
+    merged = stored(merge(target, source, on, matched, not_matched, **options), "merge")
+    from stratalake.sources.tables import write_parquet
+
+    write_parquet(merged.hint("rebalance", *partition_by), path, partition_by=partition_by)
+
+
 def update_where(df: DataFrame, condition: ColumnLike, values: Mapping[str, ColumnLike]) -> DataFrame:
     """UPDATE .. SET .. WHERE: every value is computed from the row before the update."""
     hit = is_true(condition)

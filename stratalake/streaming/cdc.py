@@ -4,7 +4,8 @@ What is stored is a log with one folder per micro-batch, and the table is derive
 from it when read. A micro-batch therefore writes no more than itself, however
 large the table has grown; events may arrive in any order, since order is only
 ever taken from the sequence column; and a replayed batch rewrites its own folder.
-`fold_scd1` shortens a log by writing its current state as one batch.
+`fold_scd1` shortens a log by writing its current state as one batch;
+`refresh_scd2` keeps a stored copy of the history, rewriting only what changed.
 """
 
 from __future__ import annotations
@@ -18,9 +19,11 @@ from pyspark.sql.streaming import StreamingQuery
 from stratalake.functions.columns import ColumnLike, as_column, is_true
 from stratalake.operators.history import newest_events, scd2
 from stratalake.operators.ordering import MAX_ROWS_PER_KEY
+from stratalake.sources.storage import read_progress, save_progress
+from stratalake.sources.tables import write_parquet
 from stratalake.streaming.files import run_batches
 
-SEQUENCE, DELETED, BATCH = "__seq", "__deleted", "_batch_id"
+SEQUENCE, DELETED, BATCH, BUCKET = "__seq", "__deleted", "_batch_id", "_bucket"
 
 
 def _tagged(events: DataFrame, sequence_by: ColumnLike, delete_when: ColumnLike) -> DataFrame:
@@ -66,12 +69,23 @@ def fold_scd1(
 
 
 def stream_scd2(
-    events: DataFrame, sequence_by: ColumnLike, delete_when: ColumnLike, log: str, checkpoint: str
+    events: DataFrame,
+    keys: Sequence[str],
+    sequence_by: ColumnLike,
+    delete_when: ColumnLike,
+    log: str,
+    checkpoint: str,
+    buckets: int = 64,
 ) -> StreamingQuery:
-    """Append each micro-batch of events to the log."""
+    """Append each micro-batch of events to the log, in folders by key bucket."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _tagged(batch, sequence_by, delete_when).write.mode("overwrite").parquet(f"{log}/{BATCH}={batch_id}")
+        tagged = _tagged(batch, sequence_by, delete_when).withColumn(
+            BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        )
+        # Few files per bucket; AQE cuts a bucket that is too large for one task.
+        placed = tagged.hint("rebalance", BUCKET)
+        placed.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{log}/{BATCH}={batch_id}")
 
     return run_batches(events, write, checkpoint)
 
@@ -89,4 +103,36 @@ def read_scd2(
     events = spark.read.parquet(log)
     if only_keys is not None:
         events = events.join(only_keys.select(*keys).distinct(), list(keys), "left_semi")
-    return scd2(events, keys, SEQUENCE, DELETED, [SEQUENCE, DELETED, BATCH, *except_columns], tiebreak, max_rows_per_key)
+    hidden = [SEQUENCE, DELETED, BATCH, BUCKET, *except_columns]
+    return scd2(events, keys, SEQUENCE, DELETED, hidden, tiebreak, max_rows_per_key)
+
+
+def refresh_scd2(
+    spark: SparkSession,
+    log: str,
+    target: str,
+    progress: str,
+    keys: Sequence[str],
+    except_columns: Sequence[str] = (),
+    tiebreak: Sequence[str] = (),
+    max_rows_per_key: int | None = MAX_ROWS_PER_KEY,
+) -> int | None:
+    """Bring a stored history up to date with its log; None when it already is.
+
+    Only buckets that the batches since the last refresh touched are read and
+    rewritten. All events of a key are in one bucket, so events that arrive late
+    are placed correctly, and running a refresh again rewrites the same folders.
+    """
+    events = spark.read.parquet(log)
+    done = read_progress(spark, progress, target, default=-1)
+    # One row: the newest batch, and no more values than there are buckets.
+    fresh = events.filter(F.col(BATCH) > done).agg(F.max(BATCH).alias("newest"), F.collect_set(BUCKET).alias("touched"))
+    newest, touched = fresh.first()
+    if newest is None:
+        return None
+    known = events.filter(F.col(BUCKET).isin(touched) & (F.col(BATCH) <= newest))
+    hidden = [SEQUENCE, DELETED, BATCH, *except_columns]
+    history = scd2(known, keys, SEQUENCE, DELETED, hidden, tiebreak, max_rows_per_key)
+    write_parquet(history.hint("rebalance", BUCKET), target, partition_by=[BUCKET])
+    save_progress(spark, progress, target, log, newest)
+    return newest

@@ -117,14 +117,14 @@ def test_out_of_order_events_and_replay(spark, tmp_path, rows):
 
     one, two = str(tmp_path / "one"), str(tmp_path / "two")
     cdc.stream_scd1(stream(), ["cliente_id"], **ARGS, log=one, checkpoint=str(tmp_path / "c1"), tiebreak=["evento_id"])
-    cdc.stream_scd2(stream(), **ARGS, log=two, checkpoint=str(tmp_path / "c2"))
+    cdc.stream_scd2(stream(), ["cliente_id"], **ARGS, log=two, checkpoint=str(tmp_path / "c2"), buckets=4)
     for attempt in ("first", "replayed"):
         assert rows(cdc.read_scd1(spark, one, ["cliente_id"], HIDDEN, ["evento_id"])) == rows(history.scd1(whole, **batch)), attempt
         full = cdc.read_scd2(spark, two, ["cliente_id"], HIDDEN, ["evento_id"])
         assert rows(full) == rows(history.scd2(whole, **batch)), attempt
         # Lost checkpoints: every file is delivered again, in batches of the same numbers.
         cdc.stream_scd1(stream(), ["cliente_id"], **ARGS, log=one, checkpoint=str(tmp_path / f"{attempt}1"), tiebreak=["evento_id"])
-        cdc.stream_scd2(stream(), **ARGS, log=two, checkpoint=str(tmp_path / f"{attempt}2"))
+        cdc.stream_scd2(stream(), ["cliente_id"], **ARGS, log=two, checkpoint=str(tmp_path / f"{attempt}2"), buckets=4)
     full = cdc.read_scd2(spark, two, ["cliente_id"], HIDDEN, ["evento_id"])
     assert full.count() > 35
     folded = str(tmp_path / "folded")
@@ -143,3 +143,28 @@ def test_late_update_does_not_revive_a_deleted_key(spark, tmp_path):
         stream = stream_files(spark, src, "parquet", EVENTS).select("cliente_id", "plan", *HIDDEN)
         cdc.stream_scd1(stream, ["cliente_id"], **ARGS, log=str(tmp_path / "log"), checkpoint=str(tmp_path / "ckpt"))
     assert cdc.read_scd1(spark, str(tmp_path / "log"), ["cliente_id"]).count() == 0
+
+
+def test_stored_history_rewrites_only_touched_buckets(spark, tmp_path, rows):
+    src, log, target, progress = (str(tmp_path / n) for n in ("src", "log", "target", "progress"))
+    start = datetime.datetime(2024, 1, 1)
+
+    def deliver(events):
+        spark.createDataFrame(events, EVENTS).coalesce(1).write.mode("append").parquet(src)
+        stream = stream_files(spark, src, "parquet", EVENTS).select("cliente_id", "plan", *HIDDEN)
+        cdc.stream_scd2(stream, ["cliente_id"], **ARGS, log=log, checkpoint=str(tmp_path / "ckpt"), buckets=8)
+        return cdc.refresh_scd2(spark, log, target, progress, ["cliente_id"], HIDDEN, ["evento_id"])
+
+    def written():
+        return {p.name: {f.name for f in p.glob("*.parquet")} for p in (tmp_path / "target").glob("_bucket=*")}
+
+    first = [(f"CLI-{i:03}", "A", "INSERT", start + datetime.timedelta(days=10, hours=i), i) for i in range(40)]
+    assert deliver(first) == 0
+    before = written()
+    late = [("CLI-007", "Z", "UPDATE", start, 99)]  # earlier than what is known
+    assert deliver(late) == 1
+    after = written()
+    assert sum(before[b] != after[b] for b in before) == 1
+    assert cdc.refresh_scd2(spark, log, target, progress, ["cliente_id"], HIDDEN, ["evento_id"]) is None
+    want = history.scd2(spark.createDataFrame(first + late, EVENTS), ["cliente_id"], **ARGS, except_columns=HIDDEN, tiebreak=["evento_id"])
+    assert rows(spark.read.parquet(target).select(want.columns)) == rows(want)
