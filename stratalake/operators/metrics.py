@@ -21,6 +21,21 @@ def _join_back(df: DataFrame, side: DataFrame, on: Sequence[str], added: Sequenc
     return df.join(right, _same(df, right, on), "left").drop(*[f"_r_{c}" for c in on])
 
 
+def aggregate_with_distinct(
+    df: DataFrame, grain: Sequence[str], measures: Sequence[Column], distinct: dict[str, str]
+) -> DataFrame:
+    """Measures and exact distinct counts ({name: column}) per grain.
+
+    In one aggregate Spark copies every row once per distinct column, and every
+    copy carries the buffers of all measures through the shuffle. Kept apart, the
+    measures shuffle one partial row per group and task, and the copies are
+    narrow. NULL is a grain value like any other.
+    """
+    sums = df.groupBy(*grain).agg(*measures)
+    counts = df.groupBy(*grain).agg(*[F.countDistinct(c).alias(name) for name, c in distinct.items()])
+    return _join_back(sums, counts, grain, list(distinct))
+
+
 def with_ranks(
     df: DataFrame,
     group: Sequence[str],

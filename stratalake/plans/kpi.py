@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from stratalake.functions.columns import safe_ratio
 from stratalake.operators.drift import typed
 from stratalake.operators.merge import Insert, Update, merge
-from stratalake.operators.metrics import with_percent_change, with_previous, with_ranks, with_running_total
+from stratalake.operators.metrics import (
+    aggregate_with_distinct,
+    with_percent_change,
+    with_previous,
+    with_ranks,
+    with_running_total,
+)
 from stratalake.sources.tables import publish
 
 GRAIN = ("anio", "trimestre", "mes", "categoria", "subcategoria", "region", "pais", "canal_venta", "segmento_cliente")
@@ -25,6 +31,19 @@ AMOUNT_TYPES = {
     "margen_bruto": "decimal(18,2)",
 }
 
+MEASURES = (
+    "total_transacciones",
+    "total_unidades",
+    "clientes_unicos",
+    "tiendas_activas",
+    "venta_bruta",
+    "venta_neta",
+    "margen_bruto_total",
+    "precio_promedio",
+    "descuento_promedio_pct",
+    "margen_pct",
+)
+
 MERGED = (
     "total_transacciones",
     "total_unidades",
@@ -70,19 +89,21 @@ def typed_silver(raw: DataFrame) -> DataFrame:
 
 def sales_kpi(silver: DataFrame, grain: Sequence[str] = GRAIN) -> DataFrame:
     """KPIs per grain. Amounts are DECIMAL; ratios are guarded against a zero base."""
-    return silver.groupBy(*grain).agg(
-        F.countDistinct("venta_id").alias("total_transacciones"),
-        F.sum("unidades").alias("total_unidades"),
-        F.countDistinct("cliente_id").alias("clientes_unicos"),
-        F.countDistinct("tienda_id").alias("tiendas_activas"),
-        F.sum("monto_bruto").cast("decimal(18,2)").alias("venta_bruta"),
-        F.sum("monto_neto").cast("decimal(18,2)").alias("venta_neta"),
-        F.sum("margen_bruto").cast("decimal(18,2)").alias("margen_bruto_total"),
-        F.avg("precio_unitario").cast("decimal(18,4)").alias("precio_promedio"),
-        (F.avg("descuento_pct") * 100).try_cast("decimal(5,2)").alias("descuento_promedio_pct"),
-        safe_ratio(F.sum("margen_bruto"), F.sum("monto_bruto"), 100).try_cast("decimal(5,2)").alias("margen_pct"),
-        F.current_timestamp().alias("dw_updated_at"),
+    kpi = aggregate_with_distinct(
+        silver,
+        grain,
+        [
+            F.sum("unidades").alias("total_unidades"),
+            F.sum("monto_bruto").cast("decimal(18,2)").alias("venta_bruta"),
+            F.sum("monto_neto").cast("decimal(18,2)").alias("venta_neta"),
+            F.sum("margen_bruto").cast("decimal(18,2)").alias("margen_bruto_total"),
+            F.avg("precio_unitario").cast("decimal(18,4)").alias("precio_promedio"),
+            (F.avg("descuento_pct") * 100).try_cast("decimal(5,2)").alias("descuento_promedio_pct"),
+            safe_ratio(F.sum("margen_bruto"), F.sum("monto_bruto"), 100).try_cast("decimal(5,2)").alias("margen_pct"),
+        ],
+        {"total_transacciones": "venta_id", "clientes_unicos": "cliente_id", "tiendas_activas": "tienda_id"},
     )
+    return kpi.select(*grain, *MEASURES, F.current_timestamp().alias("dw_updated_at"))
 
 
 def analytic(kpi: DataFrame) -> DataFrame:
