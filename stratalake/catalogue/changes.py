@@ -8,8 +8,8 @@ from stratalake.operators import merge as dml
 from stratalake.operators.joins import join_as_of, valid_on
 from stratalake.operators.merge import Insert, Update, merge
 from stratalake.operators.quality import reconcile as reconcile_counts
-from stratalake.plans.propagation import propagate, write_feed
-from stratalake.sources.storage import load_version, stored, work_dir
+from stratalake.plans.propagation import current_state, propagate, write_feed
+from stratalake.sources.storage import stored, work_dir
 
 # Shared blocks. b = target before, s = source, m = merged, a = after deletes, a2 = after a second round.
 _UPSERT = """
@@ -231,9 +231,9 @@ def as_of_version(spark, sf_dir):
 def incremental_two_rounds(spark, sf_dir):
     changes = _three_versions(spark, sf_dir)
     target, progress = work_dir(spark, "target"), work_dir(spark, "progress")
-    propagate(spark, feed.feed_range(changes, 0, 1), target, progress, "orders", ["k"])
-    propagate(spark, changes, target, progress, "orders", ["k"])
-    return load_version(spark, target)
+    propagate(spark, feed.feed_range(changes, 0, 1), target, progress, "orders", ["k"], buckets=8)
+    propagate(spark, changes, target, progress, "orders", ["k"], buckets=8)
+    return current_state(spark, target)
 
 
 @query(f"""

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.feed import COMMITTED, CHANGE_TYPE, VERSION, apply_feed, feed_range
-from stratalake.sources.storage import load_version, read_progress, save_progress, save_version
+from stratalake.operators.feed import CHANGE_TYPE, COMMITTED, DELETE, VERSION, collapse, feed_range
+from stratalake.operators.merge import Insert, Update, merge
+from stratalake.sources.storage import read_progress, save_progress, stored
+from stratalake.sources.tables import write_parquet
+
+BUCKET, DELETED = "_bucket", "_deleted"
 
 
 def write_feed(changes: DataFrame, path: str) -> None:
@@ -19,26 +24,65 @@ def write_feed(changes: DataFrame, path: str) -> None:
 def propagate(
     spark: SparkSession,
     feed: DataFrame,
-    target_root: str,
-    progress_root: str,
+    target: str,
+    progress: str,
     pipeline: str,
     keys: Sequence[str],
     source: str = "feed",
+    buckets: int = 64,
 ) -> int | None:
     """Apply the versions that came after the last run; None when there are none.
 
-    The new state is written before the progress. A crash in between applies the
-    same versions once more, which gives the same state.
+    The target is kept in folders by key bucket, and only buckets with changes
+    are read and rewritten. Deleted rows stay as tombstones, which `current_state`
+    hides. New content is complete in storage before old folders are replaced,
+    and progress is saved last: a crash in between applies the same versions once
+    more, which gives the same state.
     """
-    done = read_progress(spark, progress_root, pipeline, default=-1)
-    changes = feed_range(feed, done + 1)
-    newest = changes.agg(F.max(VERSION)).first()[0]
+    done = read_progress(spark, progress, pipeline, default=-1)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    # One row: the newest version, and no more values than there are buckets.
+    pending = feed_range(feed, done + 1).agg(F.max(VERSION), F.collect_set(bucket))
+    newest, touched = pending.first()
     if newest is None:
         return None
-    changes = feed_range(feed, done + 1, newest)
-    target = load_version(spark, target_root)
-    if target is None:
-        target = changes.drop(CHANGE_TYPE, VERSION, COMMITTED).limit(0)
-    save_version(apply_feed(target, changes, keys), target_root, newest)
-    save_progress(spark, progress_root, pipeline, source, newest)
+    changes = collapse(feed_range(feed, done + 1, newest), keys).withColumn(BUCKET, bucket)
+    table = _read(spark, target)
+    if table is None:
+        kept = changes.filter(F.col(CHANGE_TYPE) != DELETE).drop(CHANGE_TYPE, VERSION, COMMITTED)
+        merged = kept.withColumn(DELETED, F.lit(False))
+    else:
+        merged = _merge_changes(table.filter(F.col(BUCKET).isin(touched)), changes, keys)
+    write_parquet(stored(merged, "propagate").hint("rebalance", BUCKET), target, partition_by=[BUCKET])
+    save_progress(spark, progress, pipeline, source, newest)
     return newest
+
+
+def _merge_changes(table: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    gone = f"s.{CHANGE_TYPE} = '{DELETE}'"
+    values = {c: f"s.`{c}`" for c in table.columns if c not in (DELETED, BUCKET)}
+    return merge(
+        table,
+        changes,
+        keys,
+        matched=[
+            Update({DELETED: F.lit(True)}, when=gone),
+            Update({**{c: v for c, v in values.items() if c not in keys}, DELETED: F.lit(False)}),
+        ],
+        not_matched=[Insert({**values, DELETED: F.lit(False), BUCKET: f"s.{BUCKET}"}, when=f"NOT ({gone})")],
+        source_unique=True,
+    )
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def current_state(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of a table that `propagate` maintains."""
+    return spark.read.parquet(target).filter(~F.col(DELETED)).drop(DELETED, BUCKET)

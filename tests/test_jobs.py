@@ -12,7 +12,7 @@ from stratalake.plans import kpi, propagation, reports, retail, reviews, sales,
 from stratalake.operators import feed
 from stratalake.operators.merge import delete_where, update_where
 from stratalake.operators.quality import reconcile
-from stratalake.sources.storage import load_version, read_progress
+from stratalake.sources.storage import read_progress
 
 
 def sale(order, product="PROD-101", total=100.0, state="completada", at="2024-01-15T08:00:00Z", channel="ecommerce"):
@@ -190,15 +190,18 @@ def test_two_rounds_of_subscription_changes(spark, tmp_path, rows):
             propagation.write_feed(change, path)
 
     def run():
-        return propagation.propagate(spark, spark.read.parquet(path), target, progress, "subs", keys)
+        return propagation.propagate(spark, spark.read.parquet(path), target, progress, "subs", keys, buckets=4)
 
     commit(0, 3)
     assert run() == 3 and run() is None  # nothing new the second time
     commit(4, 6)
     assert run() == 6 and read_progress(spark, progress, "subs") == 6
-    silver = load_version(spark, target).select(*v6.columns)
+    silver = propagation.current_state(spark, target).select(*v6.columns)
     assert rows(silver) == rows(v6) and silver.count() == 4
     assert reconcile(v6, silver, ["plan", "estado"]).filter("NOT matches").count() == 0
+    # Lost progress: all versions are applied once more.
+    assert propagation.propagate(spark, spark.read.parquet(path), target, str(tmp_path / "p2"), "subs", keys, buckets=4) == 6
+    assert rows(propagation.current_state(spark, target).select(*v6.columns)) == rows(v6)
     changes = spark.read.parquet(path)
     for v, state in enumerate(versions):
         assert rows(feed.as_of(changes, v, keys).select(*v0.columns)) == rows(state)
@@ -228,3 +231,27 @@ def test_reports(spark, rows):
     assert reports.in_month(sold, "f", "2024-02-01").count() == 2
     staff = spark.createDataFrame([("x", 10.0), ("y", 30.0)], "nombre STRING, salario DOUBLE")
     assert rows(reports.top_earner(staff), "nombre") == [("y",)]
+
+
+def test_propagation_rewrites_only_touched_buckets(spark, tmp_path, rows):
+    path, target, progress = (str(tmp_path / n) for n in ("feed", "silver", "progress"))
+    v0 = spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    v1 = delete_where(update_where(v0, "k = 7", {"v": F.lit("b")}), "k = 8")
+    v2 = delete_where(v1, "k < 50")
+
+    def run(changes):
+        propagation.write_feed(changes, path)
+        before = files()
+        propagation.propagate(spark, spark.read.parquet(path), target, progress, "p", ["k"], buckets=16)
+        return sum(before[b] != now for b, now in files().items() if b in before)
+
+    def files():
+        return {p.name: {f.name for f in p.glob("*.parquet")} for p in (tmp_path / "silver").glob("_bucket=*")}
+
+    run(feed.initial_feed(v0))
+    assert run(feed.change_feed(v0, v1, ["k"], 1)) <= 2
+    assert rows(propagation.current_state(spark, target)) == rows(v1)
+    run(feed.change_feed(v1, v2, ["k"], 2))  # every bucket is emptied
+    assert propagation.current_state(spark, target).count() == 0
+    run(feed.change_feed(v2, v1, ["k"], 3))  # and filled again
+    assert rows(propagation.current_state(spark, target)) == rows(v1)
