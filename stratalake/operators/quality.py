@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.columns import ColumnLike, as_column, clean_text, is_true, key_hash
@@ -53,8 +53,6 @@ def dedup_latest(
     map side already, so a key that fills a third of the table shuffles at most
     one row per input task.
     """
-    from pyspark.sql import Window
-
     newest = Window.partitionBy(*keys).orderBy(as_column(order).desc(), *[as_column(t).asc() for t in tiebreak])
     return df.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
