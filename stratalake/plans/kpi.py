@@ -19,6 +19,7 @@ from stratalake.operators.metrics import (
 )
 from stratalake.sources.tables import publish
 
+# Grain, measures and public column names of the gold table.
 GRAIN = ("anio", "trimestre", "mes", "categoria", "subcategoria", "region", "pais", "canal_venta", "segmento_cliente")
 
 # Declared types of the amounts, which arrive as text.

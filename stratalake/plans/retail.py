@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.columns import is_true
 from stratalake.operators.quality import normalize
 
+# States that count as active.
 ACTIVE_STATES = ("COMPLETADO", "PENDIENTE")
 
 

@@ -103,3 +103,29 @@ def test_withcolumns_is_one_projection(lines):
 def test_aqe_joins_small_partitions(lines):
     counts = lines.groupBy("l_returnflag").count()
     assert counts.select(F.spark_partition_id().alias("p")).distinct().count() <= 3
+
+
+def test_large_merge_splits_a_hot_key(spark):
+    """Beyond broadcast size the target's join is a sort-merge join that AQE splits on the hot key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        k = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("bigint")
+        target = spark.range(0, 400_000, 1, 8).select(k.alias("k"), F.hash("id").alias("v"))
+        source = spark.range(0, 400_000, 2).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+        merged = merge(target, source, ["k"], matched=[Update({"v": "s.v"})], source_unique=True)
+        assert merged.filter("k = 0 AND v = 1").count() > 130_000
+        merged.collect()
+        assert "skew=true" in merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
