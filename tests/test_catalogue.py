@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
+from stratalake import catalogue
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalogue.load()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
