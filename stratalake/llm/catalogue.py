@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm.jaccard import jaccard_components
+from stratalake.llm.quality import BASE_RULES, POLICIES, RULES, bit_mask, quality_report
 from stratalake.llm.workers import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +39,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _without(pattern: str) -> str:
+    return f"length(t) - length(regexp_replace(t, '{pattern}', '', 'g'))"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+                      list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l
+               FROM documents),
+    g AS (SELECT doc_id, list_transform(range(1, len(w) - 1), lambda i: w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2]) AS g FROM d),
+    u AS (SELECT doc_id, unnest(g) AS g, generate_subscripts(g, 1) AS p FROM g),
+    c AS (SELECT doc_id, p FROM u QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+    r AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM c, (VALUES (0), (1), (2)) AS k(k) GROUP BY doc_id),
+    m AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, {_without("[#*$%&|<>]")} AS n_symbols,
+                 len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+                 {_without("[A-Z]")} AS n_capitals, {_without("[0-9]")} AS n_digits,
+                 len(list_filter(l, lambda x: x LIKE '- %' OR x LIKE '* %' OR x LIKE '• %')) AS n_bullet_lines,
+                 len(list_filter(l, lambda x: x LIKE '%...' OR x LIKE '%…')) AS n_ellipsis_lines
+          FROM d LEFT JOIN r USING (doc_id)),
+    f AS (SELECT *, {" + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(RULES.values()))} AS failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           (failed & {bit_mask(BASE_RULES)}) <> 0 AS base_failed, failed = 0 AS kept, CAST(failed AS BIGINT) AS failed
+    FROM f"""
+)
+def op6_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = quality_report(table(spark, sf_dir, "documents"), POLICIES["v1"])
+    return report.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed"
+    )
