@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.llm.attribution import section_tokens
 from stratalake.llm.jaccard import jaccard_components
+from stratalake.llm.packing import pack_documents
 from stratalake.llm.quality import BASE_RULES, POLICIES, RULES, bit_mask, quality_report
+from stratalake.llm.tokenbin import tokens_round_trip
 from stratalake.llm.workers import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+VOCABULARY = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -73,3 +79,18 @@ def op6_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed"
     )
+
+
+@query()
+def op3_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+@query()
+def op8_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+@query()
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
