@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratalake.llm.attribution import section_tokens
 from stratalake.llm.jaccard import jaccard_components
 from stratalake.llm.packing import pack_documents
+from stratalake.llm.parsing import repeat_digest
 from stratalake.llm.quality import BASE_RULES, POLICIES, RULES, bit_mask, quality_report
 from stratalake.llm.tokenbin import tokens_round_trip
 from stratalake.llm.workers import share_package
@@ -94,3 +95,8 @@ def op8_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+@query()
+def op9_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(table(spark, sf_dir, "documents"))
