@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm.attribution import section_tokens
+from stratalake.llm.decontamination import contaminated
 from stratalake.llm.jaccard import jaccard_components
+from stratalake.llm.langid import identify
 from stratalake.llm.packing import pack_documents
 from stratalake.llm.parsing import repeat_digest
 from stratalake.llm.quality import BASE_RULES, POLICIES, RULES, bit_mask, quality_report
@@ -100,3 +102,34 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digest(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+_SHINGLES = """list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))"""
+
+
+@query(
+    f"""
+    WITH i AS (SELECT item_id, w, len(w) AS n, least(len(w), 5) AS k
+               FROM (SELECT DISTINCT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM benchmark) WHERE len(w) > 0),
+    si AS (SELECT item_id, n, k, unnest({_SHINGLES}) AS h, generate_subscripts({_SHINGLES}, 1) AS off FROM i),
+    d AS (SELECT DISTINCT doc_id, list_transform(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x) AS w FROM documents WHERE text IS NOT NULL),
+    dk AS (SELECT doc_id, w, k FROM d, (SELECT DISTINCT k FROM i) WHERE len(w) >= k),
+    sd AS (SELECT doc_id, k, unnest({_SHINGLES}) AS h, generate_subscripts({_SHINGLES}, 1) AS p FROM dk),
+    c AS (SELECT DISTINCT sd.doc_id, si.item_id, si.n, si.k, greatest(sd.p - si.off, 0) AS start FROM sd JOIN si ON sd.h = si.h AND sd.k = si.k),
+    x AS (SELECT c.doc_id, c.item_id, c.start, c.k, d.w[c.start + 1 : c.start + c.n] AS w FROM c JOIN d ON c.doc_id = d.doc_id),
+    y AS (SELECT doc_id, item_id, start, greatest(len(w) - k + 1, 0) AS nw, unnest({_SHINGLES}) AS h FROM x),
+    a AS (SELECT doc_id, item_id, start, nw, h, count(*) AS cw FROM y GROUP BY ALL),
+    b AS (SELECT item_id, h, count(*) AS ci FROM si GROUP BY ALL),
+    m AS (SELECT doc_id, a.item_id, start, nw, sum(least(cw, ci)) AS c FROM a JOIN b ON a.item_id = b.item_id AND a.h = b.h GROUP BY ALL),
+    s AS (SELECT doc_id, m.item_id, start, c / (nw + n - k + 1 - c) AS similarity FROM m JOIN i ON m.item_id = i.item_id
+          WHERE 100 * c >= 75 * (nw + n - k + 1 - c))
+    SELECT doc_id, item_id, start, similarity FROM s
+    QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1"""
+)
+def op4_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
