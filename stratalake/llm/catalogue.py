@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.llm.attribution import section_tokens
+from stratalake.llm.chat import PART_TURNS, perspectives
 from stratalake.llm.decontamination import contaminated
 from stratalake.llm.jaccard import jaccard_components
 from stratalake.llm.langid import identify
@@ -133,3 +134,25 @@ _SHINGLES = """list_transform(range(1, len(w) - k + 2), lambda i: array_to_strin
 )
 def op4_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    f"""
+    WITH r AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text,
+                      coalesce(CAST(floor(turn / {PART_TURNS}) AS BIGINT), -1) AS part FROM conversations),
+    s AS (SELECT DISTINCT conv_id, speaker AS perspective FROM r WHERE speaker <> 'system'),
+    t AS (SELECT r.conv_id, perspective, part, turn, speaker, speaker = perspective AS mine,
+                 CASE WHEN speaker = perspective THEN '<|assistant|>' WHEN speaker = 'system' THEN '<|system|>'
+                      ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head,
+                 text || chr(10) || '<|end|>' || chr(10) AS body
+          FROM r JOIN s ON r.conv_id = s.conv_id),
+    u AS (SELECT *, sum(length(head) + length(body)) OVER w AS upto, row_number() OVER w AS nth
+          FROM t WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY part, turn NULLS FIRST, speaker, body
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    SELECT conv_id, perspective, part, count(*) AS n_turns, count(*) FILTER (mine) AS n_trained,
+           string_agg(head || body, '' ORDER BY nth) AS rendered,
+           coalesce(string_agg(CAST(upto - length(body) AS BIGINT) || '-' || CAST(upto AS BIGINT), ',' ORDER BY nth) FILTER (mine), '') AS mask
+    FROM u GROUP BY conv_id, perspective, part"""
+)
+def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives(table(spark, sf_dir, "conversations"))
