@@ -192,6 +192,7 @@ def _contexts(size: int):
                 bare = window[lo > hi]
                 window, lo, hi = window[lo <= hi], lo[lo <= hi], hi[lo <= hi]
                 owner = np.searchsorted(at, np.concatenate([window, bare]), "right") - 1
+                settled = np.zeros(n + 2, np.int64)  # of windows that the slice itself shows to be repeats
                 if len(window):
                     new = np.concatenate([[True], (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
                     a, b = lo[new], hi[new]
@@ -209,12 +210,10 @@ def _contexts(size: int):
                     context = mix(segment_hashes(part, begin, stop) + mix(shift * U64(0x9E3779B97F4A7C15))).view(np.int64)
                     _, index, inverse, times = np.unique(context, return_index=True, return_inverse=True, return_counts=True)
                     who = owner[: len(window)][first]
-                    settled = times[inverse] > 1
+                    done = times[inverse] > 1
+                    np.add.at(settled, begin[done], 1)
+                    np.add.at(settled, begin[done] + count[done], -1)
                     place = begin - at[who]
-                    if settled.any():
-                        m = int(settled.sum())
-                        yield _table(m, key=place[settled], doc_id=ids[i:j][who[settled]], same=same[i:j][who[settled]],
-                                     begin=place[settled], windows=count[settled])
                     raw = part.tobytes()
                     alone = times == 1
                     bodies = [raw[x:y] for x, y in zip(begin[index].tolist(), stop[index].tolist())]
@@ -225,17 +224,27 @@ def _contexts(size: int):
                         begin=place[index], windows=count[index], bytes=bodies,
                     )
                 if len(bare):
-                    # Without a phrase inside, a window stands for itself; a row of equal ones is sent once.
-                    print_ = segment_hashes(part, bare, bare + size)
-                    who = owner[len(window) :]
-                    cut = np.concatenate([[True], (print_[1:] != print_[:-1]) | (bare[1:] != bare[:-1] + 1)])
-                    first = np.flatnonzero(cut)
-                    count = np.diff(np.append(first, len(bare)))
-                    second = segment_hashes(part, bare[first], bare[first] + size, 1)
+                    # Without a phrase inside, a window stands for itself; equal ones of a slice are sent once.
+                    prints = segment_hashes(part, bare, bare + size)
+                    _, index, inverse, times = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
+                    done = bare[times[inverse] > 1]
+                    settled[done] += 1
+                    settled[done + 1] -= 1
+                    who, alone = owner[len(window) :][index], times == 1
                     yield _table(
-                        len(first), key=print_[first].view(np.int64), context=second.view(np.int64), times=count,
-                        doc_id=ids[i:j][who[first]], same=same[i:j][who[first]], begin=bare[first] - at[who[first]], windows=count,
+                        len(index), key=prints[index].view(np.int64),
+                        context=segment_hashes(part, bare[index], bare[index] + size, 1).view(np.int64), times=np.minimum(times, 2),
+                        doc_id=pa.array(ids[i:j][who], mask=~alone), same=pa.array(same[i:j][who], mask=~alone),
+                        begin=bare[index] - at[who], windows=np.ones(len(index), np.int64),
                     )
+                done = np.flatnonzero(np.cumsum(settled) > 0)
+                if len(done):
+                    who = np.searchsorted(at, done, "right") - 1
+                    first = np.flatnonzero(np.concatenate([[True], (done[1:] != done[:-1] + 1) | (who[1:] != who[:-1])]))
+                    begin, count, who = done[first], np.diff(np.append(first, len(done))), who[first]
+                    place = begin - at[who]
+                    spread = mix(ids[i:j][who].view(U64) * U64(31) + place.astype(U64)).view(np.int64)
+                    yield _table(len(first), key=spread, doc_id=ids[i:j][who], same=same[i:j][who], begin=place, windows=count)
 
     return run
 
