@@ -1,26 +1,70 @@
-"""Documents to packed training sequences, in stages that each keep what they accept."""
+"""Documents to packed training sequences, in stages that each keep what they accept.
+
+Every stage reads what the one before it wrote. doc_id names a document: of rows that repeat one, near-duplicate removal
+leaves one.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.llm.decontamination import contaminated
 from stratalake.llm.jaccard import jaccard_components
+from stratalake.llm.langid import accepted
+from stratalake.llm.packing import pack_documents
+from stratalake.llm.parsing import without_repeats
 from stratalake.llm.workers import share_package
 from stratalake.sources.storage import stored
 
-#: SQL cannot express the learned and the packing stages; tests compare with brute force.
+#: SQL cannot express the learned, parsing and packing stages; tests compare with brute force.
 ORACLE_SQL = None
 
+#: Share of a text's n-grams that its language must contain. Mixed and noisy prose has far more.
+MIN_LANGUAGE_SCORE = 0.3
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or in no language that the corpus has, go."""
+    share_package(spark)
+    return accepted(docs, MIN_LANGUAGE_SCORE)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that with the least doc_id."""
     share_package(spark)
     groups = jaccard_components(docs.select("doc_id", "text"))
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes that occur more than once are cut out of all texts."""
+    share_package(spark)
+    return without_repeats(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    found = contaminated(docs.select("doc_id", "text"), benchmark)
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' token ids, each with its sequence and offset."""
+    share_package(spark)
+    return pack_documents(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontaminated", decontaminated),
+    ("packed", packed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from stratalake.llm.langid import identify
 from stratalake.llm.packing import pack_documents
 from stratalake.llm.parsing import repeat_digest
 from stratalake.llm.quality import BASE_RULES, POLICIES, RULES, bit_mask, quality_report
+from stratalake.llm.scoring import score_texts
 from stratalake.llm.tokenbin import tokens_round_trip
 from stratalake.llm.workers import share_package
 
@@ -156,3 +157,8 @@ def op4_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op7_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))

@@ -200,6 +200,15 @@ def held_out(doc_id: str = "doc_id", of: int = 4, remainder: int = 2) -> Column:
 
 def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of all documents, learned from text and lang of those not held out."""
-    model = learn(docs.filter(~held_out()).select("text", "lang"))
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
+    model = learn(docs.filter(~held_out()))
     found = predict(docs.withColumn("held_out", held_out()), model, ["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, min_score: float) -> DataFrame:
+    """Rows of `docs`, with all their columns, whose text has a language: not `und`, score `min_score` or more."""
+    model = learn(docs.filter(~held_out()).select("text", "lang"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
+    found = predict(rows, model, ["row"])
+    return found.filter((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= min_score)).select("row.*")
