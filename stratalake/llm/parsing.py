@@ -360,6 +360,9 @@ def _bit(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h >> U64(3)).astype(np.int64), np.uint8(1) << (h & U64(7)).astype(np.uint8)
 
 
+_CUT_SQL = "doc_id bigint, same bigint, n_removed bigint, n_spans bigint, kept string"
+
+
 def _cut_out(text: bool):
     """Rows with their repeats cut out: either the text that is left, or its digest."""
 
@@ -373,7 +376,7 @@ def _cut_out(text: bool):
                 np.add.at(cover, ends.values.to_numpy(), -1)
                 gone = np.cumsum(cover)[:-1] > 0
                 left = raw[~gone].tobytes()
-                runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+                runs = int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum())
                 made.append((int(gone.sum()), runs, left.decode("utf-8", "ignore") if text else hashlib.sha256(left).hexdigest()))
             removed, runs, left = zip(*made) if made else ((), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -384,26 +387,25 @@ def _cut_out(text: bool):
     return run
 
 
-def _with_repeats(docs: DataFrame, size: int, text: bool) -> DataFrame:
-    """(doc_id, same, n_removed, n_spans, kept) of the rows that have repeats."""
-    spans = repeated_spans(docs, size)
-    # A filter of fixed size on the rows that have spans keeps the other texts out of the shuffle.
+def _filter_of(spans: DataFrame):
+    """A filter of fixed size on the rows that have spans, as a broadcast; it may let others through."""
     keys = spans.select(F.xxhash64("doc_id", "same").alias("row")).mapInArrow(_marks(FILTER_BITS), "bits binary")
     found = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in keys.toLocalIterator():
         found |= np.frombuffer(r["bits"], np.uint8)
-    place = docs.sparkSession.sparkContext.broadcast(found)
+    return spans.sparkSession.sparkContext.broadcast(found)
+
 
-    def may_have(batches):
+def _chosen(rows: DataFrame, place, wanted: bool) -> DataFrame:
+    """Those rows (doc_id, same, ..) that the filter lets through, or those that it does not."""
+
+    def run(batches):
         for batch in batches:
             byte, bit = _bit(batch.column(0).to_numpy(zero_copy_only=False), FILTER_BITS)
-            yield batch.filter(pa.array((place.value[byte] & bit) > 0))
+            yield batch.filter(pa.array(((place.value[byte] & bit) > 0) == wanted))
 
-    rows = _rows(docs).filter(F.octet_length("text") >= size).select(F.xxhash64("doc_id", "same").alias("row"), "doc_id", "same", "text")
-    rows = rows.mapInArrow(may_have, "row bigint, doc_id bigint, same bigint, text string").drop("row")
-    joined = rows.join(spans, ["doc_id", "same"]).select("doc_id", "same", F.col("text").cast("binary"), "begins", "ends")
-    done = joined.mapInArrow(_cut_out(text), "doc_id bigint, same bigint, n_removed bigint, n_spans bigint, kept string")
-    return done.dropDuplicates(["doc_id", "same"])
+    keyed = rows.select(F.xxhash64("doc_id", "same").alias("_row"), *rows.columns)
+    return keyed.mapInArrow(run, keyed.schema).drop("_row")
 
 
 def repeat_digest(docs: DataFrame, size: int = 400) -> DataFrame:
@@ -412,7 +414,10 @@ def repeat_digest(docs: DataFrame, size: int = 400) -> DataFrame:
     A byte goes if a `size`-byte string over it also starts anywhere else, in the same row or another; strings overlap,
     never cross rows, and are judged on the input. Null counts as empty. Repeated rows repeat each other.
     """
-    found = _with_repeats(docs, size, text=False)
+    spans = repeated_spans(docs, size)
+    likely = _chosen(_rows(docs).filter(F.octet_length("text") >= size), _filter_of(spans), True)
+    joined = likely.join(spans, ["doc_id", "same"]).select("doc_id", "same", F.col("text").cast("binary"), "begins", "ends")
+    found = joined.mapInArrow(_cut_out(text=False), _CUT_SQL).dropDuplicates(["doc_id", "same"])
     rows = _rows(docs).select("doc_id", "same", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("whole"))
     return rows.join(found, ["doc_id", "same"], "left").select(
         "doc_id",
@@ -424,5 +429,33 @@ def repeat_digest(docs: DataFrame, size: int = 400) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
-    """(doc_id, same, text) of the rows that change, with what is left as text; a character cut in half goes whole."""
-    return _with_repeats(docs, size, text=True).select("doc_id", "same", F.col("kept").alias("text"))
+    """`docs` with the repeats cut out of `text`; a character cut in half goes whole, and so does a row left empty.
+
+    All columns stay as they are but for n_chars, where there is one: it follows a text that changes. Rows without repeats
+    pass by without a shuffle, null and empty texts among them.
+    """
+    spans = repeated_spans(docs, size)
+    place = _filter_of(spans)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    keyed = keyed.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("same"), "row")
+    untouched = _chosen(keyed, place, False).select("row.*")
+    joined = _chosen(keyed, place, True).join(spans, ["doc_id", "same"], "left")
+    nothing = F.expr("CAST(array() AS ARRAY<BIGINT>)")
+    joined = joined.withColumns({"begins": F.coalesce("begins", nothing), "ends": F.coalesce("ends", nothing)})
+
+    def run(batches):
+        cut = _cut_out(text=True)
+        for batch in batches:
+            texts = batch.column(2).field("text").fill_null("").cast(pa.binary())
+            given = pa.RecordBatch.from_arrays([*batch.columns[:2], texts, *batch.columns[3:]], names=list("abcde"))
+            for done in cut([given]):
+                yield pa.RecordBatch.from_arrays([batch.column(2), done.column(2), done.column(4)], names=["row", "n_removed", "kept"])
+
+    fields = f"row {joined.schema['row'].dataType.simpleString()}, n_removed bigint, kept string"
+    changed = joined.mapInArrow(run, fields).filter("n_removed = 0 OR kept <> ''")
+    touched = F.col("n_removed") > 0
+    new = {"text": F.when(touched, F.col("kept")).otherwise(F.col("row.text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(touched, F.length("kept")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return untouched.unionByName(changed.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]))
