@@ -391,10 +391,10 @@ def pit_join(spark, sf_dir):
 @query(_PIT)
 def pit_join_ordered(spark, sf_dir):
     """Every fact row, by the way taken where the dimension is too large to broadcast."""
-    return _pit(spark, sf_dir, max_broadcast_rows=0).select("o_orderkey", "k", "seg")
+    return _pit(spark, sf_dir, max_versions=0).select("o_orderkey", "k", "seg")
 
 
 @query(_PIT)
 def pit_join_hot_keys(spark, sf_dir):
     """The same with every key treated as too large for one task."""
-    return _pit(spark, sf_dir, max_broadcast_rows=0, max_rows_per_key=0).select("o_orderkey", "k", "seg")
+    return _pit(spark, sf_dir, max_versions=0, max_rows_per_key=0).select("o_orderkey", "k", "seg")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from stratalake.catalogue import query, table
 from stratalake.functions.columns import clean_text, key_hash
 from stratalake.operators import access
-from stratalake.operators.joins import broadcast_within, dropped_between, enrich
+from stratalake.operators.joins import dropped_between, enrich
 from stratalake.operators.joins import join_sort_merge as sort_merge
 from stratalake.operators.metrics import top_n_per_group, with_percent_change, with_previous, with_ranks, with_running_total
 from stratalake.operators.ordering import balanced_buckets
@@ -102,7 +102,7 @@ FROM lineitem JOIN (SELECT * FROM part WHERE p_size <= 25) p ON l_partkey = p_pa
 def join_inner(spark, sf_dir):
     part = table(spark, sf_dir, "part").filter("p_size <= 25").select("p_partkey", "p_brand", "p_type")
     lines = table(spark, sf_dir, "lineitem")
-    joined = lines.join(broadcast_within(part), lines.l_partkey == part.p_partkey)
+    joined = lines.join(part, lines.l_partkey == part.p_partkey)
     net = (money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(5,2)"))).cast(MONEY)
     return joined.select("l_orderkey", "l_linenumber", "l_partkey", "p_brand", "p_type", net.alias("net"))
 

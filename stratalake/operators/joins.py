@@ -9,35 +9,24 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.ordering import MAX_ROWS_PER_KEY, carry_in, has_hot_key, range_chunks
 
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking that `df` has at most `max_rows` rows.
-
-    A larger side is returned as it is: Spark then shuffles both sides, and AQE
-    splits a skewed key.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def enrich(
     fact: DataFrame,
     dim: DataFrame,
     on: str | Sequence[str],
     columns: Sequence[str],
-    max_broadcast_rows: int = BROADCAST_ROWS,
     status: str = "_join_status",
 ) -> DataFrame:
     """Left join that keeps every fact row and says whether it found its dimension row.
 
+    There is no hint: a side whose bytes are below the session's threshold is broadcast, by estimate or by what AQE
+    measures, and AQE splits a skewed key otherwise.
+
     The status comes from a marker column, so a matched row whose attributes
     are NULL still counts as matched.
     """
     keys = [on] if isinstance(on, str) else list(on)
     side = dim.select(*keys, *columns, F.lit(True).alias("_hit"))
-    joined = fact.join(broadcast_within(side, max_broadcast_rows), keys, "left")
+    joined = fact.join(side, keys, "left")
     return joined.withColumn(status, F.when(F.col("_hit"), "matched").otherwise("unmatched")).drop("_hit")
 
 
@@ -67,30 +56,40 @@ def join_as_of(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     how: str = "inner",
-    max_broadcast_rows: int = BROADCAST_ROWS,
     max_versions: int = 64,
     max_rows_per_key: int | None = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
-    """Each fact row with the dimension version valid at its own date.
+    """Each fact row with the dimension version valid at its own time.
 
-    Intervals are closed and do not overlap, as `scd2_apply` builds them. A small
-    dimension with few versions per key is broadcast and range-joined. Beyond
+    Times of facts are compared as the type of `valid_from`, so a TIMESTAMP fact
+    falls on its day in a dimension of dates. Intervals are closed; overlapping ones of a key are refused.
+    Where keys have few versions, facts are joined by key and range. Beyond
     that bound, facts and versions of a key are ordered together and the last
     version is carried forward: the work is linear in facts plus versions, where
-    a range join would look at every pair.
+    a range join would look at every pair. Both give the same rows.
     """
     keys = list(on)
+    ahead = Window.partitionBy(*keys).orderBy(valid_from, valid_to)
+    known = dim.filter(F.col(valid_from).isNotNull() & (F.col(valid_from) <= F.col(valid_to)))
+    for k in keys:
+        known = known.filter(F.col(k).isNotNull())  # NULL keys never match
     shape = (
-        dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most"))
+        known.select(*keys, (F.lag(valid_to).over(ahead) >= F.col(valid_from)).alias("over"))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("over").alias("over"))
+        .agg(F.max("n").alias("most"), F.sum("over").alias("over"))
     ).first()
-    if (shape["rows"] or 0) <= max_broadcast_rows and (shape["most"] or 0) <= max_versions:
-        side = dim.select(*[F.col(k).alias(f"_k_{k}") for k in keys], valid_from, valid_to, *columns)
-        condition = F.col(at).between(F.col(valid_from), F.col(valid_to))
+    if shape["over"]:
+        raise ValueError(f"{shape['over']} intervals of the dimension overlap the one before them")
+    if (shape["most"] or 0) <= max_versions:
+        side = known.select(*[F.col(k).alias(f"_k_{k}") for k in keys], valid_from, valid_to, *columns)
+        moment = F.col(at).cast(dim.schema[valid_from].dataType)
+        condition = moment.between(side[valid_from], side[valid_to])
         for k in keys:
             condition = condition & (F.col(k) == F.col(f"_k_{k}"))
-        joined = fact.join(F.broadcast(side), condition, how)
-        return joined.select(*fact.columns, *columns)
-    return _carry_version(fact, dim, keys, at, columns, valid_from, valid_to, how, max_rows_per_key)
+        joined = fact.join(side, condition, how)
+        return joined.select(*[fact[c] for c in fact.columns], *[side[c] for c in columns])
+    return _carry_version(fact, known, keys, at, columns, valid_from, valid_to, how, max_rows_per_key)
 
 
 def _carry_version(fact, dim, keys, at, columns, valid_from, valid_to, how, max_rows_per_key):

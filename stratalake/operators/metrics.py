@@ -26,14 +26,10 @@ def aggregate_with_distinct(
 ) -> DataFrame:
     """Measures and exact distinct counts ({name: column}) per grain.
 
-    In one aggregate Spark copies every row once per distinct column, and every
-    copy carries the buffers of all measures through the shuffle. Kept apart, the
-    measures shuffle one partial row per group and task, and the copies are
-    narrow. NULL is a grain value like any other.
+    One aggregate, so the input is read once and filters on the grain reach it. NULL
+    is a grain value like any other.
     """
-    sums = df.groupBy(*grain).agg(*measures)
-    counts = df.groupBy(*grain).agg(*[F.countDistinct(c).alias(name) for name, c in distinct.items()])
-    return _join_back(sums, counts, grain, list(distinct))
+    return df.groupBy(*grain).agg(*measures, *[F.countDistinct(c).alias(name) for name, c in distinct.items()])
 
 
 def with_ranks(
@@ -44,7 +40,7 @@ def with_ranks(
     dense_rank: str | None = None,
     max_rows_per_group: int | None = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
-    """rank (and dense rank) of a numeric column, highest first, within each group.
+    """rank (and dense rank) of any column that can be ordered, highest first and NULL last, within each group.
 
     Where a group is too large for one task, ranks are found for its distinct
     values, in chunks, and joined back.
@@ -55,11 +51,11 @@ def with_ranks(
         return df.withColumns(dict(zip(names, [F.rank().over(w), F.dense_rank().over(w)])))
 
     values = df.groupBy(*group, by).agg(F.count(F.lit(1)).alias("_n"))
-    values = values.withColumns({"_last": F.col(by).isNull(), "_down": -F.col(by)})
-    chunks = range_chunks(values, group, ["_last", "_down"])
+    down = F.col(by).desc_nulls_last()
+    chunks = range_chunks(values, group, [down])
     totals = chunks.groupBy("_chunk", *group).agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("values"))
     carried = carry_in(totals, group, {"rows": F.sum, "values": F.sum})
-    inner = Window.partitionBy("_chunk", *group).orderBy("_last", "_down")
+    inner = Window.partitionBy("_chunk", *group).orderBy(down)
     above = inner.rowsBetween(Window.unboundedPreceding, -1)
     continues = F.struct(*group).eqNullSafe(F.col("_carry_key"))
 

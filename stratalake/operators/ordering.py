@@ -36,7 +36,9 @@ def _numbered(df: DataFrame) -> DataFrame:
     return cut_lineage(df).withColumn("_row", F.monotonically_increasing_id())
 
 
-def range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
+def range_chunks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], partitions: int | None = None
+) -> DataFrame:
     """Rows in global (keys, order) order, cut into balanced chunks numbered by `_chunk`.
 
     The row id `_row` makes every sort key distinct, so that even equal rows can

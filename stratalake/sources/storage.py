@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,11 +16,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder below the shared folder the cluster names.
 
-    Only where no folder is configured (single-machine tests) is a temporary
-    one made.
+    Only a session on one machine may go without; then a temporary one is made.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="stratalake-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from stratalake.operators.drift import RESCUED, evolve, rescue
 from stratalake.sources.files import as_schema, files_by_header, read_csv, read_csv_strings, with_source_file
@@ -46,10 +47,12 @@ def run_append(
     checkpoint: str,
     table: bool = False,
     partition_by: Sequence[str] = (),
+    on_progress: Callable[[StreamingQueryProgress], None] | None = None,
 ) -> StreamingQuery:
     """Append everything available now to a folder (or a catalog table), then stop.
 
-    The same checkpoint continues where the last run ended.
+    The same checkpoint continues where the last run ended. `on_progress` gets the progress of every micro-batch of
+    this run once. The query keeps only the newest hundred, so they are taken while it runs; a gap raises.
     """
     writer = (
         df.writeStream.outputMode("append")
@@ -60,7 +63,19 @@ def run_append(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.toTable(target) if table else writer.start(target)
-    query.awaitTermination()
+    if on_progress is None:
+        query.awaitTermination()
+        return query
+    last = None
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(1)
+        for progress in query.recentProgress:
+            if last is not None and progress.batchId > last + 1:
+                raise RuntimeError(f"the progress of batches {last + 1} to {progress.batchId - 1} was lost")
+            if last is None or progress.batchId > last:
+                last = progress.batchId
+                on_progress(progress)
     return query
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from stratalake.functions.columns import ColumnLike, is_true
 from stratalake.operators.quality import expect_or_drop, expect_or_fail
@@ -26,8 +27,8 @@ def stream_silver(
     """Type the columns of a bronze stream, apply expectations, append to silver.
 
     Rules see the typed columns. Returns the query and, per `warn` and `drop`
-    rule, how many rows of this run broke it. The counts are taken while rows
-    pass by; nothing is read twice.
+    rule, how many rows of this run broke it, over all its micro-batches. The counts
+    are taken while rows pass by; nothing is read twice.
     """
     typed = bronze.select(
         *[(F.expr(v) if isinstance(v, str) else v).alias(name) for name, v in columns.items()]
@@ -38,11 +39,12 @@ def stream_silver(
             "expectations", *[F.count_if(~is_true(rule)).alias(name) for name, rule in observed.items()]
         )
     checked = expect_or_fail(expect_or_drop(typed, drop or {}), fail or {})
-    query = run_append(checked, target, checkpoint, table=table)
     counts = dict.fromkeys(observed, 0)
-    for progress in query.recentProgress:
+
+    def add(progress: StreamingQueryProgress) -> None:
         seen = progress.observedMetrics.get("expectations")
         if seen is not None:
             for name, n in seen.asDict().items():
                 counts[name] += n or 0
-    return query, counts
+
+    return run_append(checked, target, checkpoint, table=table, on_progress=add), counts

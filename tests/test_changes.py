@@ -184,8 +184,8 @@ def test_point_in_time_join_ways_agree(skewed, spark, how):
     facts = skewed.select("id", F.when(F.col("v") != 3, F.col("k")).alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.abs("ts") % 60).cast("int")).alias("day"))
     ways = [
         join_as_of(facts, dim, ["k"], "day", ["seg"], how=how),
-        join_as_of(facts, dim, ["k"], "day", ["seg"], how=how, max_broadcast_rows=0),
-        join_as_of(facts, dim, ["k"], "day", ["seg"], how=how, max_broadcast_rows=0, max_rows_per_key=1_000),
+        join_as_of(facts, dim, ["k"], "day", ["seg"], how=how, max_versions=0),
+        join_as_of(facts, dim, ["k"], "day", ["seg"], how=how, max_versions=0, max_rows_per_key=1_000),
     ]
     assert same(ways[0], ways[1]) and same(ways[0], ways[2])
     if how == "left":

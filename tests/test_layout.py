@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.catalogue import table
-from stratalake.operators.joins import broadcast_within, join_sort_merge
+from stratalake.operators.joins import join_sort_merge
 from stratalake.operators.layout import compact, files_touched, table_detail, zorder
 from stratalake.operators.merge import Insert, Update, merge
 from stratalake.operators.metrics import top_n_per_group
@@ -56,12 +56,6 @@ def test_clustering_spreads_copies_and_takes_text(spark, tmp_path):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2_000
 
 
-def test_broadcast_only_within_its_bound(spark, lines, plan):
-    part = table(spark, SF_DIR, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    assert "BroadcastHashJoin" in plan(lines.join(broadcast_within(part), "l_partkey"))
-    assert broadcast_within(part, max_rows=10) is part
-
-
 def test_sort_merge_by_request(spark, lines, plan):
     part = table(spark, SF_DIR, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     text = plan(join_sort_merge(lines, part, "l_partkey"))

@@ -50,7 +50,7 @@ def test_enrich_keeps_rows_and_marks_nameless_matches(spark, people, rows):
     dim = spark.createDataFrame([(1, None)], "id INT, label STRING")
     got = enrich(people, dim, "id", ["label"])
     assert rows(got, "id", "_join_status") == [(1, "matched"), (2, "unmatched"), (3, "unmatched")]
-    assert rows(enrich(people, dim, "id", ["label"], max_broadcast_rows=0)) == rows(got)
+    assert rows(enrich(people, dim, "id", ["label"])) == rows(got)
 
 
 def test_masks_and_row_filters(spark, rows):
