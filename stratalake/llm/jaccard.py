@@ -9,10 +9,11 @@ the cost model allots a one-deletion neighbourhood also those of the subsets wit
 A record publishes its segments in their fixed order only until they absorb more differences than any
 partner allows. Whichever of two records stops first is covered by what both have published.
 
-A list is the records that publish the same hash. Each list first links all its members to its least one; true links
-make components, and after that only pairs across components are looked at. Lists that would still
-have too many such pairs (passages that many documents share), and records whose segments are too empty to be covered,
-take an exact second way: prefixes of their rarest shingles.
+A list is the records that publish the same hash. Its pairs are looked at where it was made, on parity sketches that
+bound the difference from below and lose no link; what they leave is verified exactly. A list of many near copies
+links its members to its least one first, and after that only pairs across components count. Lists too
+long for one task, and records whose segments are too empty to be covered, take an exact second way: prefixes of their
+rarest shingles.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +42,17 @@ from stratalake.sources.storage import stored
 
 #: Segments beyond what the largest set of a band needs, as a share; they make up for empty segments.
 SLACK = 1.25
-#: A list with more pairs across components than this leaves them to the exact second way.
-MAX_LIST_PAIRS = 2_000
+#: A list with more possible pairs than this times its length shows only its star first; near copies then are one component.
+DENSE = 8
+#: A dense list with more pairs across components than this leaves them to the exact second way, as does a list
+#: of more members than this, whose pairs one task should not look at.
+MAX_LIST_PAIRS = 200
+MAX_LIST = 4_000
+#: Shingles of possible partners that one task verifies against as many others.
+BLOCK_SHINGLES = 1_000_000
+#: A set's parity sketch has one to two bits for each shingle, between 64 and this many words of 64; every shingle flips a
+#: bit. Two sketches, the longer one folded, differ in no more bits than the sets in shingles.
+SKETCH_WORDS = 64
 #: Members of a list that are stored in one row.
 LIST_ROW = 1_000
 #: Published hashes are shuffled in packets, this many for each reducer from each map step.
@@ -141,6 +152,17 @@ def published(flat: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.n
     return np.concatenate(out_hash), np.concatenate(out_doc), covered
 
 
+def sketches(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, offsets) of the parity sketch of each set."""
+    sizes = np.diff(offsets)
+    band = np.floor(np.log2(np.maximum(sizes, 1))).astype(np.int64)
+    words = 2 ** np.clip(band - 5, 0, int(math.log2(SKETCH_WORDS)))
+    at = np.concatenate([[0], np.cumsum(words)])
+    bit = (mix(flat + U64(3)) & np.repeat(words * 64 - 1, sizes).astype(U64)).astype(np.int64)
+    odd = np.bincount(bit + np.repeat(at[:-1] * 64, sizes), minlength=at[-1] * 64).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64), at
+
+
 def document_sets(column: pa.Array, k: int):
     """(first row, sorted distinct shingle hashes, offsets) of slices of a text column."""
     data, offsets = utf8(column)
@@ -179,6 +201,7 @@ def _publish(parts: int, k: int, percent: int):
                 n = len(offsets) - 1
                 first, second = sums_by(mix(flat + U64(1)), offsets), sums_by(mix(flat + U64(2)), offsets)
                 h, doc, covered = published(flat, offsets, percent)
+                bits, upto = sketches(flat, offsets)
                 waiting.append((h, first[doc]))
                 size += len(h)
                 told = pa.RecordBatch.from_arrays(
@@ -188,8 +211,9 @@ def _publish(parts: int, k: int, percent: int):
                         pa.array(first.view(np.int64)),
                         pa.array(second.view(np.int64)),
                         pa.array(covered),
+                        pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(bits)),
                     ],
-                    names=["doc_id", "n", "h1", "h2", "covered"],
+                    names=["doc_id", "n", "h1", "h2", "covered", "sketch"],
                 )
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, told.schema) as writer:
@@ -213,8 +237,9 @@ _FOUND = pa.schema(
         ("h1", pa.int64()),
         ("h2", pa.int64()),
         ("covered", pa.bool_()),
+        ("sketch", pa.list_(pa.int64())),
+        ("part", pa.int32()),
         ("list_id", pa.int64()),
-        ("least", pa.int64()),
         ("members", pa.list_(pa.int64())),
     ]
 )
@@ -247,16 +272,17 @@ def _lists(h: np.ndarray, node: np.ndarray):
 
 
 def _collect(batches):
-    hashes, nodes = [], []
+    hashes, nodes, seen = [], [], 0
     for batch in batches:
         for part, kind, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
             if kind:
                 with pa.ipc.open_stream(a.as_buffer()) as reader:
                     for told in reader:
                         n = len(told)
-                        blank = [pa.nulls(n, f.type) for f in list(_FOUND)[5:]]
+                        blank = [pa.nulls(n, f.type) for f in list(_FOUND)[6:]]
                         yield pa.RecordBatch.from_arrays([*told.columns, *blank], schema=_FOUND)
             else:
+                seen = part
                 nodes.append(np.frombuffer(b.as_buffer(), U64))
                 n = len(nodes[-1])
                 low = np.frombuffer(a.as_buffer(), np.uint32, n).astype(U64)
@@ -282,9 +308,9 @@ def _collect(batches):
             pa.array(np.concatenate([[0], hi - lo[0]]).astype(np.int32)), pa.array(node[lo[0] : hi[-1]])
         )
         n = len(lo)
-        blank = [pa.nulls(n, f.type) for f in list(_FOUND)[:5]]
+        blank = [pa.nulls(n, f.type) for f in list(_FOUND)[:6]]
         yield pa.RecordBatch.from_arrays(
-            [*blank, pa.array(ids[of[part]]), pa.array(node[at[of[part]]]), members], schema=_FOUND
+            [*blank, pa.array([seen] * n, pa.int32()), pa.array(ids[of[part]]), members], schema=_FOUND
         )
 
 
@@ -297,24 +323,172 @@ def _sets_of(k: int):
                 node = batch.column(0).slice(i, len(offsets) - 1)
                 sets = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64)))
                 own = sums_by(mix(flat + U64(1)), offsets).view(np.int64) == node.to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([node, sets], names=["node", "shingles"]).filter(pa.array(own))
+                key = batch.column(2).slice(i, len(node))
+                yield pa.RecordBatch.from_arrays([key, node, sets], names=["key", "node", "shingles"]).filter(pa.array(own))
+
+    return run
+
+
+def _bits_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+
+
+def _possible(percent: int):
+    """Pairs of each list that sizes and sketches do not rule out; members of dense and of long lists besides."""
+
+    def keeps(na, nb, apart):
+        return (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (
+            (100 + percent) * apart <= (100 - percent) * (na + nb)
+        )
+
+    def run(key, lists: pa.Table, nodes: pa.Table) -> pa.Table:
+        known, first = np.unique(nodes.column("node").to_numpy(), return_index=True)
+        size = nodes.column("n").to_numpy()[first]
+        column = nodes.column("sketch").combine_chunks()
+        words = pc.list_value_length(column).to_numpy()
+        flat, begins = column.flatten().to_numpy().view(U64), np.cumsum(words) - words
+        words, begins = words[first], begins[first]
+        # The sketches of all nodes that have so many words or more, folded to that length, and each node's row there.
+        folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        held, rows_of = np.zeros((0, 2 * SKETCH_WORDS), U64), np.zeros(0, np.int64)
+        w = SKETCH_WORDS
+        while w:
+            own = np.flatnonzero(words == w)
+            held = np.concatenate([held[:, :w] ^ held[:, w:], flat[begins[own][:, None] + np.arange(w)]])
+            rows_of = np.concatenate([rows_of, own])
+            row = np.full(len(known), -1)
+            row[rows_of] = np.arange(len(rows_of))
+            folded[w] = held, row
+            w //= 2
+        lists = lists.sort_by("list_id")  # the rows of a long list stand together
+        members = lists.column("members").combine_chunks()
+        lengths = pc.list_value_length(members).to_numpy()
+        ids = lists.column("list_id").to_numpy()
+        where = np.searchsorted(known, members.flatten().to_numpy())
+        begin = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
+        at = np.concatenate([[0], np.cumsum(lengths)])
+        bounds = np.append(at[begin], at[-1])
+        sizes = np.diff(bounds)
+        out_a, out_b, told, kinds = [], [], [], []
+        shortest = np.minimum.reduceat(words[where], bounds[:-1]) if len(sizes) else sizes
+        # Lists of the same length are looked at together.
+        for k, w in {*zip(sizes.tolist(), shortest.tolist())}:
+            which = np.flatnonzero((sizes == k) & (shortest == w))
+            if k > MAX_LIST:
+                told += [where[bounds[c] : bounds[c + 1]] for c in which]
+                kinds += [np.full(k, -1)] * len(which)
+                continue
+            sketch, row = folded[w]
+            i, j = np.triu_indices(k, 1)
+            chunk = 4_000_000 // w
+            step = max(1, chunk // len(i))
+            for c in range(0, len(which), step):
+                some = which[c : c + step]
+                rows = where[bounds[some][:, None] + np.arange(k)]
+                good = np.zeros((len(some), len(i)), bool)
+                for s in range(0, len(i), chunk):
+                    x, y = rows[:, i[s : s + chunk]], rows[:, j[s : s + chunk]]
+                    good[:, s : s + chunk] = keeps(size[x], size[y], _bits_apart(sketch[row[x]], sketch[row[y]]))
+                dense = good.sum(axis=1) > DENSE * k
+                good[np.ix_(dense, i > 0)] = False
+                r, p = np.nonzero(good)
+                out_a.append(rows[r, i[p]])
+                out_b.append(rows[r, j[p]])
+                told += list(rows[dense])
+                kinds += [np.full(k, ids[begin[c]]) for c in some[dense]]
+        empty = [np.zeros(0, np.int64)]
+        pair = np.unique(np.stack([np.concatenate(out_a or empty), np.concatenate(out_b or empty)]), axis=1)
+        a, b = np.minimum(known[pair[0]], known[pair[1]]), np.maximum(known[pair[0]], known[pair[1]])
+        member = known[np.concatenate(told or empty)]
+        kind = np.concatenate(kinds or empty)
+        n, m = len(a), len(member)
+        return pa.table(
+            {
+                "a": pa.array(np.concatenate([a, member])),
+                "b": pa.array(np.concatenate([b, np.zeros(m, np.int64)]), mask=np.arange(n + m) >= n),
+                "list_id": pa.array(np.concatenate([np.zeros(n, np.int64), kind]), mask=np.arange(n + m) < n),
+            }
+        )
+
+    return run
+
+
+def _similar(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
+    """Links among the stored pairs (a, b), by exact intersection: at least those that make the same components.
+
+    Pairs that hang together are verified together, so that a set travels once and not with every pair; a family with
+    more than BLOCK_SHINGLES shingles is dealt into blocks of its records by block.
+    """
+    families = stored(connected_components(pairs), "jaccard-families")
+    size = families.join(nodes.select("node", "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    slot = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("slot")
+    placed = stored(families.join(size, "component").select("node", "component", slot), "jaccard-placed")
+    keyed = pairs.join(placed.select(F.col("node").alias("a"), "component", F.col("slot").alias("slot_a")), "a")
+    keyed = keyed.join(placed.select(F.col("node").alias("b"), F.col("slot").alias("slot_b")), "b")
+    key = F.xxhash64("component", F.least("slot_a", "slot_b"), F.greatest("slot_a", "slot_b"))
+    keyed = stored(keyed.select("a", "b", key.alias("key")), "jaccard-keyed")
+    asked = keyed.select("key", F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = _sets(texts, nodes, asked, k)
+    return keyed.groupBy("key").cogroup(sets.groupBy("key")).applyInArrow(_verify(percent), "a bigint, b bigint")
+
+
+def _verify(percent: int):
+    def run(key, pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        held: dict[int, list[np.ndarray]] = {}
+        for node, shingles_ in zip(sets.column("node").to_pylist(), sets.column("shingles").combine_chunks()):
+            held.setdefault(node, []).append(shingles_.values.to_numpy().view(U64))
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        out = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+            if find(a) == find(b):
+                continue  # links of this block join them already
+            for x in held.get(a, ()):
+                for y in held.get(b, ()):
+                    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                    common = int((x[at] == y).sum())
+                    if find(a) != find(b) and 100 * common >= percent * (len(x) + len(y) - common):
+                        root[find(a)] = find(b)
+                        out.append((a, b))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return run
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the node pairs (a, b) that link, by exact intersection of their sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(left, "a").join(right, "b")
-    return joined.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+def _sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(key, node, shingles) of the wanted (key, node), made again from their texts.
+
+    A node is the first hash of a class; where two classes share it by chance, both sets are compared.
+    """
+    chosen = stored(nodes.join(wanted, "node").select("doc_id", "node", "key"), "jaccard-chosen")
+    picked = (
+        texts.join(chosen, "doc_id")
+        .withColumn("same", F.xxhash64("text"))
+        .dropDuplicates(["doc_id", "node", "key", "same"])  # repeated rows; the join has brought them together
+        .select("node", "text", "key")
+    )
+    return picked.mapInArrow(_sets_of(k), "key bigint, node bigint, shingles array<bigint>")
 
 
 def _with_component(nodes: DataFrame, components: DataFrame) -> DataFrame:
     return nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of the graph that has these links (a, b) besides."""
+    links = links.join(components.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left")
+    links = links.join(components.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left")
+    merged = connected_components(links.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    top = components.join(merged.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left")
+    known = top.select("node", F.coalesce("top", "component").alias("component"))
+    return stored(known.unionByName(merged.join(known, "node", "left_anti")), "components")
+
+
 def _rare_prefix_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of `nodes` (node, component) across components that share one of their rarest shingles.
 
@@ -357,35 +531,28 @@ def jaccard_components(docs: DataFrame, percent: int = 75, k: int = 5, parts: in
     packets = texts.mapInArrow(_publish(parts, k, percent), "part int, kind int, a binary, b binary")
     found = packets.repartition(reducers, "part").mapInArrow(
         _collect,
-        "doc_id bigint, n bigint, h1 bigint, h2 bigint, covered boolean, list_id bigint, least bigint, members array<bigint>",
+        "doc_id bigint, n bigint, h1 bigint, h2 bigint, covered boolean, sketch array<bigint>, part int, list_id bigint, members array<bigint>",
     )
     found = stored(found, "jaccard")
     rows = found.filter("list_id IS NULL").select("doc_id", "n", "h1", "h2", "covered")
-    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.min("covered").alias("covered"))
-    lists = found.filter("list_id IS NOT NULL").select("list_id", "least", "members")
-
-    # Sets of the classes that are in a list or uncovered. A node is the first hash; where two classes
-    # share it by chance both sets are compared.
-    members = lists.select("list_id", "least", F.explode("members").alias("node"))
-    uncovered = classes.filter("NOT covered").select(F.col("h1").alias("node"))
-    needed = members.select("node").union(uncovered).distinct()
-    chosen = classes.join(needed, classes.h1 == needed.node).select("doc_id", "node")
-    sets = (
-        texts.join(chosen, "doc_id")
-        .withColumn("same", F.xxhash64("text"))
-        .dropDuplicates(["doc_id", "node", "same"])  # repeated rows; the join has brought them together
-        .select("node", "text")
-        .mapInArrow(_sets_of(k), "node bigint, shingles array<bigint>")
+    classes = found.filter("list_id IS NULL AND n > 0").groupBy("h1", "h2")
+    classes = stored(
+        classes.agg(F.min("doc_id").alias("doc_id"), F.min("covered").alias("covered"), F.max("n").alias("n"), F.first("sketch").alias("sketch")),
+        "jaccard-classes",
     )
-    sets = stored(sets, "jaccard-sets")
-
-    stars = members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stored(stars, "jaccard-stars")
-    links = stored(_similar(stars, sets, percent), "jaccard-links")
-    components = connected_components(links)
-
-    # What is left: pairs of a list whose components differ.
-    placed = _with_component(members.dropDuplicates(["list_id", "node"]).select("list_id", "node"), components)
+    nodes = classes.select(F.col("h1").alias("node"), "h2", "doc_id", "n", "sketch")
+    lists = found.filter("list_id IS NOT NULL").select("part", "list_id", "members")
+    asked = lists.select(F.col("part").alias("where"), F.explode("members").alias("node")).distinct()
+    asked = asked.join(nodes.select("node", "n", "sketch"), "node").select("where", "node", "n", "sketch")
+    looked = lists.groupBy("part").cogroup(asked.groupBy("where"))
+    looked = stored(looked.applyInArrow(_possible(percent), "a bigint, b bigint, list_id bigint"), "jaccard-possible")
+
+    pairs = stored(looked.filter("list_id IS NULL").select("a", "b").distinct(), "jaccard-pairs")
+    components = stored(connected_components(_similar(texts, nodes, pairs, percent, k)), "components")
+
+    # What is left: pairs of dense lists whose components differ, long lists, uncovered records.
+    dense = looked.filter("list_id <> -1").select("list_id", F.col("a").alias("node")).distinct()
+    placed = _with_component(dense, components)
     mixed = placed.groupBy("list_id", "component").agg(F.count("*").cast("double").alias("c"))
     mixed = mixed.groupBy("list_id").agg(((F.sum("c") ** 2 - F.sum(F.col("c") ** 2)) / 2).alias("pairs")).filter("pairs > 0")
     placed = stored(placed.join(mixed, "list_id"), "jaccard-mixed")
@@ -397,18 +564,15 @@ def jaccard_components(docs: DataFrame, percent: int = 75, k: int = 5, parts: in
         .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
         .distinct()
     )
-    long = placed.filter(F.col("pairs") > MAX_LIST_PAIRS).select("node")
-    rest = _with_component(long.union(uncovered).distinct(), components)
-    across = across.union(_rare_prefix_pairs(sets, rest, percent)).distinct().join(stars, ["a", "b"], "left_anti")
-    more = _similar(across, sets, percent).join(components.withColumnsRenamed({"node": "a", "component": "ca"}), "a", "left")
-    more = more.join(components.withColumnsRenamed({"node": "b", "component": "cb"}), "b", "left")
-    more = stored(more.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), "jaccard-more")
-    merged = connected_components(more)
-    components = components.join(merged.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left")
-    components = components.select("node", F.coalesce("top", "component").alias("component"))
-    components = components.unionByName(merged.join(components, "node", "left_anti"))
-
-    nodes = classes.select(F.col("h1").alias("node"), "h2", "doc_id")
+    rest = placed.filter(F.col("pairs") > MAX_LIST_PAIRS).select("node")
+    rest = rest.union(looked.filter("list_id = -1").select("a")).union(classes.filter("NOT covered").select("h1"))
+    rest = stored(_with_component(rest.distinct(), components), "jaccard-rest")
+    sets = stored(_sets(texts, nodes, rest.select("node", F.lit(0).cast("bigint").alias("key")), k), "jaccard-sets")
+    across = across.union(_rare_prefix_pairs(sets, rest, percent)).distinct()
+    across = stored(across.join(pairs, ["a", "b"], "left_anti"), "jaccard-across")
+    components = _merged(components, _similar(texts, nodes, across, percent, k))
+
+    nodes = nodes.select("node", "h2", "doc_id")
     tops = _with_component(nodes, components).groupBy("component").agg(F.min("doc_id").alias("component_id"))
     found_in = _with_component(nodes, components).join(tops, "component").select(F.col("node").alias("h1"), "h2", "component_id")
     return rows.join(found_in, ["h1", "h2"], "left").select(
