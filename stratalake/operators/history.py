@@ -123,7 +123,8 @@ def scd2_apply(
     Closed versions pass through untouched; the current ones meet the batch in
     one left join that gives each of them back as it is, or as the closed and
     the new version. A small batch is broadcast, so the dimension does not
-    shuffle. Applying the same batch again changes nothing.
+    shuffle. Applying the same batch again changes nothing. A change dated like the current version corrects it
+    in place, so intervals never turn around and `dim_sk` stays unique; a change dated before it is refused.
     """
     keys = list(keys)
     columns = dim.columns
@@ -146,9 +147,15 @@ def scd2_apply(
     joined = current.alias("t").join(one_row_per_key(batch, keys).alias("s"), on, "left")
     hit = F.col("s._n").isNotNull()
     joined = guard(joined, ~hit | (F.col("s._n") <= 1), "several batch rows for one dimension key")
+    changed = hit & _differs(tracked, False)
+    since = F.col("t.valid_from")
+    joined = guard(joined, ~changed | (start >= since), "a batch row is older than the current version of its key")
+    corrected = {c: F.col(f"t.`{c}`") for c in ("valid_from", "valid_to", "is_current", "dim_sk")}
     closing = {"valid_to": F.date_sub(start, 1), "is_current": F.lit(False)}
-    versions = F.when(hit & _differs(tracked, False), F.array(row(closing, "t"), row(new_values, "s"))).otherwise(
-        F.array(row({}, "t"))
+    versions = (
+        F.when(changed & (start == since), F.array(row(corrected, "s")))
+        .when(changed, F.array(row(closing, "t"), row(new_values, "s")))
+        .otherwise(F.array(row({}, "t")))
     )
     kept = joined.select(F.inline(versions))
 

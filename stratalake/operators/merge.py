@@ -153,6 +153,10 @@ def _value(values: Mapping[str, ColumnLike] | str, name: str) -> Column | None:
     return as_column(values[name]) if name in values else None
 
 
+#: Partitions that a merge names to the scan one by one.
+MAX_LISTED_PARTITIONS = 500
+
+
 def merge_partitions(
     spark: SparkSession,
     path: str,
@@ -177,8 +181,15 @@ def merge_partitions(
     for column in partition_by:
         source = guard(source, F.col(column).isNotNull(), f"NULL in partition column {column}")
     touched = source.select(*partition_by).distinct()
-    # Spark prunes the table's partitions by this join when it runs.
-    target = spark.read.parquet(path).join(touched, list(partition_by), "left_semi")
+    target = spark.read.parquet(path)
+    values = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if len(values) <= MAX_LISTED_PARTITIONS:
+        # Literals prune the scan; more partitions than that are found by a join.
+        one = [reduce(lambda a, b: a & b, [F.col(c) == F.lit(r[c]) for c in partition_by]) for r in values]
+        only = F.col(partition_by[0]).isin([r[0] for r in values]) if len(partition_by) == 1 else None
+        target = target.filter(only if only is not None else reduce(lambda a, b: a | b, one, F.lit(False)))
+    else:
+        target = target.join(touched, list(partition_by), "left_semi")
     merged = stored(merge(target, source, on, matched, not_matched, **options), "merge")
     write_parquet(merged.hint("rebalance", *partition_by), path, partition_by=partition_by)
 

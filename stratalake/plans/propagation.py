@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.feed import CHANGE_TYPE, COMMITTED, DELETE, VERSION, collapse, feed_range
 from stratalake.operators.merge import Insert, Update, merge
-from stratalake.sources.storage import read_progress, save_progress, stored
+from stratalake.sources.storage import fixed_buckets, read_progress, save_progress, stored
 from stratalake.sources.tables import write_parquet
 
 BUCKET, DELETED = "_bucket", "_deleted"
@@ -29,24 +29,25 @@ def propagate(
     pipeline: str,
     keys: Sequence[str],
     source: str = "feed",
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> int | None:
     """Apply the versions that came after the last run; None when there are none.
 
     The target is kept in folders by key bucket, and only buckets with changes
-    are read and rewritten. Deleted rows stay as tombstones, which `current_state`
+    are read and rewritten. The first run settles how many there are (64 if not given). Deleted rows stay as tombstones, which `current_state`
     hides. New content is complete in storage before old folders are replaced,
     and progress is saved last: a crash in between applies the same versions once
     more, which gives the same state.
     """
     done = read_progress(spark, progress, pipeline, default=-1)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(fixed_buckets(spark, target, buckets))).cast("int")
     # One row: the newest version, and no more values than there are buckets.
     pending = feed_range(feed, done + 1).agg(F.max(VERSION), F.collect_set(bucket))
     newest, touched = pending.first()
     if newest is None:
         return None
-    changes = collapse(feed_range(feed, done + 1, newest), keys).withColumn(BUCKET, bucket)
+    # Stored, as the merge reads it more than once.
+    changes = stored(collapse(feed_range(feed, done + 1, newest), keys).withColumn(BUCKET, bucket), "changes")
     table = _read(spark, target)
     if table is None:
         kept = changes.filter(F.col(CHANGE_TYPE) != DELETE).drop(CHANGE_TYPE, VERSION, COMMITTED)

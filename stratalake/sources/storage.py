@@ -62,6 +62,25 @@ def load_version(spark: SparkSession, root: str, version: int | None = None) ->
     return states.filter(F.col("_version") == version).drop("_version")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store its path names; nothing happens where there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def fixed_buckets(spark: SparkSession, table: str, buckets: int | None, default: int = 64) -> int:
+    """The bucket count a table was begun with, kept beside it; the first call settles it, another count is refused."""
+    known = load_version(spark, f"{table.rstrip('/')}-buckets", 0)
+    if known is None:
+        chosen = buckets or default
+        save_version(spark.range(1).select(F.lit(chosen).alias("buckets")), f"{table.rstrip('/')}-buckets", 0)
+        return chosen
+    found = known.first()["buckets"]
+    if buckets not in (None, found):
+        raise ValueError(f"{table} has {found} buckets, not {buckets}")
+    return found
+
+
 def save_progress(spark: SparkSession, root: str, pipeline: str, source: str, last_version: int) -> None:
     """Record how far a pipeline has read its source; call it after the data is written.
 

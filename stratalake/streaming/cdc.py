@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stratalake.functions.columns import ColumnLike, as_column, is_true
 from stratalake.operators.history import newest_events, scd2
 from stratalake.operators.ordering import MAX_ROWS_PER_KEY
-from stratalake.sources.storage import read_progress, save_progress
+from stratalake.sources.storage import fixed_buckets, read_progress, remove_folder, save_progress, stored
 from stratalake.sources.tables import write_parquet
 from stratalake.streaming.files import run_batches
 
@@ -75,9 +75,13 @@ def stream_scd2(
     delete_when: ColumnLike,
     log: str,
     checkpoint: str,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Append each micro-batch of events to the log, in folders by key bucket."""
+    """Append each micro-batch of events to the log, in folders by key bucket.
+
+    The number of buckets is settled by the first run (64 if not given) and kept beside the log.
+    """
+    buckets = fixed_buckets(events.sparkSession, log, buckets)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = _tagged(batch, sequence_by, delete_when).withColumn(
@@ -133,6 +137,10 @@ def refresh_scd2(
     known = events.filter(F.col(BUCKET).isin(touched) & (F.col(BATCH) <= newest))
     hidden = [SEQUENCE, DELETED, BATCH, *except_columns]
     history = scd2(known, keys, SEQUENCE, DELETED, hidden, tiebreak, max_rows_per_key)
+    history = stored(history, "history")
     write_parquet(history.hint("rebalance", BUCKET), target, partition_by=[BUCKET])
+    # An overwrite leaves a bucket alone for which it has no rows.
+    for emptied in set(touched) - {r[BUCKET] for r in history.select(BUCKET).distinct().collect()}:
+        remove_folder(spark, f"{target.rstrip('/')}/{BUCKET}={emptied}")
     save_progress(spark, progress, target, log, newest)
     return newest
