@@ -345,3 +345,13 @@ def test_scoring(docs, texts, none):
     # All symbols after a context add up to one.
     assert math.isclose(sum(10 ** log10((257, 97, 110), s) for s in range(257)), 1, rel_tol=1e-9)
     assert score_texts(none).collect() == []
+
+
+def test_scoring_keeps_rare_grams(spark):
+    # Of 11 million training symbols one gram is seen once; a share of 1e-7 would cut it.
+    rows = [(i, "ab" * 550_000, False) for i in range(10)] + [(10, "xyzw", False), (11, "xyzw", True)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, out boolean").repartition(4)
+    got = by_id(score_texts(df, df["out"]))
+    # x is rare after the beginning (1 of 11, 2 distinct); then y, z, w and the end have each been seen once, alone.
+    want = math.log10(1 / 13) + 4 * math.log10(1 / 2)
+    assert math.isclose(got[11]["score"], want, rel_tol=1e-9) and got[10]["score"] == got[11]["score"]
