@@ -154,13 +154,15 @@ def _table(n: int, **columns) -> pa.RecordBatch:
 
 
 def _contexts(size: int):
-    """Places of contexts, each distinct one of a slice with its bytes; times is null for what is settled already."""
+    """Places of contexts, each distinct one of a slice with its bytes; times is null for what is settled already, and same
+    for what has no place outside the slice. A null doc_id stays null."""
 
     def run(batches):
         for batch in batches:
             ids, same, texts, repeated = (batch.column(k) for k in range(4))
             data, offsets = utf8(texts)
-            ids, same = (c.to_numpy(zero_copy_only=False) for c in (ids, same))
+            valid = ids.is_valid().to_numpy(zero_copy_only=False)
+            ids, same = (c.fill_null(0).to_numpy(zero_copy_only=False) for c in (ids, same))
             for i, j in slices(offsets):
                 part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 n = len(part)
@@ -220,7 +222,7 @@ def _contexts(size: int):
                     some = who[index]
                     yield _table(
                         len(index), key=key[index], context=context[index], times=np.minimum(times, 2),
-                        doc_id=pa.array(ids[i:j][some], mask=~alone), same=pa.array(same[i:j][some], mask=~alone),
+                        doc_id=pa.array(ids[i:j][some], mask=~(alone & valid[i:j][some])), same=pa.array(same[i:j][some], mask=~alone),
                         begin=place[index], windows=count[index], bytes=bodies,
                     )
                 if len(bare):
@@ -234,7 +236,7 @@ def _contexts(size: int):
                     yield _table(
                         len(index), key=prints[index].view(np.int64),
                         context=segment_hashes(part, bare[index], bare[index] + size, 1).view(np.int64), times=np.minimum(times, 2),
-                        doc_id=pa.array(ids[i:j][who], mask=~alone), same=pa.array(same[i:j][who], mask=~alone),
+                        doc_id=pa.array(ids[i:j][who], mask=~(alone & valid[i:j][who])), same=pa.array(same[i:j][who], mask=~alone),
                         begin=bare[index] - at[who], windows=np.ones(len(index), np.int64),
                     )
                 done = np.flatnonzero(np.cumsum(settled) > 0)
@@ -243,8 +245,9 @@ def _contexts(size: int):
                     first = np.flatnonzero(np.concatenate([[True], (done[1:] != done[:-1] + 1) | (who[1:] != who[:-1])]))
                     begin, count, who = done[first], np.diff(np.append(first, len(done))), who[first]
                     place = begin - at[who]
-                    spread = mix(ids[i:j][who].view(U64) * U64(31) + place.astype(U64)).view(np.int64)
-                    yield _table(len(first), key=spread, doc_id=ids[i:j][who], same=same[i:j][who], begin=place, windows=count)
+                    spread = mix((ids ^ same)[i:j][who].view(U64) * U64(31) + place.astype(U64)).view(np.int64)
+                    named = pa.array(ids[i:j][who], mask=~valid[i:j][who])
+                    yield _table(len(first), key=spread, doc_id=named, same=same[i:j][who], begin=place, windows=count)
 
     return run
 
@@ -252,8 +255,9 @@ def _contexts(size: int):
 def _settle(size: int):
     """(doc_id, same, begin, end): repeated stretches in bytes, from all contexts of a set of keys."""
 
-    def spans(ids, same, begin, end):
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, same, begin, end)], names=["doc_id", "same", "begin", "end"])
+    def spans(ids, named, same, begin, end):
+        columns = [pa.array(ids, mask=named == 0), *(pa.array(x) for x in (same, begin, end))]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "same", "begin", "end"])
 
     def run(batches):
         kept, bodies = [], []
@@ -261,15 +265,15 @@ def _settle(size: int):
             columns = [batch.column(k) for k in range(7)]
             settled = columns[2].is_null().to_numpy(zero_copy_only=False)
             number = [c.fill_null(-1).to_numpy(zero_copy_only=False) for c in columns]
-            here = columns[3].is_valid().to_numpy(zero_copy_only=False)
+            named, here = (c.is_valid().to_numpy(zero_copy_only=False) for c in columns[3:5])
             if settled.any():
                 _, _, _, ids, same, begin, windows = (x[settled] for x in number)
-                yield spans(ids, same, begin, begin + windows - 1 + size)
-            kept.append(np.stack([*(x[~settled] for x in number), here[~settled].astype(np.int64)]))
+                yield spans(ids, named[settled], same, begin, begin + windows - 1 + size)
+            kept.append(np.stack([x[~settled].astype(np.int64) for x in (*number, named, here)]))
             bodies += batch.column(7).filter(pa.array(~settled)).to_pylist()
         if not kept:
             return
-        key, context, times, ids, same, begin, windows, here = np.concatenate(kept, axis=1)
+        key, context, times, ids, same, begin, windows, named, here = np.concatenate(kept, axis=1)
         if not len(key):
             return
         order = np.lexsort((context, key))
@@ -278,7 +282,7 @@ def _settle(size: int):
         group[order] = np.cumsum(new) - 1
         total = np.bincount(group, times).astype(np.int64)
         whole = (total[group] > 1) & (here > 0)
-        yield spans(ids[whole], same[whole], begin[whole], begin[whole] + windows[whole] - 1 + size)
+        yield spans(ids[whole], named[whole], same[whole], begin[whole], begin[whole] + windows[whole] - 1 + size)
         # Windows of distinct contexts, sorted; those of one that occurs twice are repeats already, and show others.
         one = order[new]
         one = np.array([k for k in one.tolist() if bodies[k] is not None], np.int64)
@@ -312,7 +316,7 @@ def _settle(size: int):
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(hit)) - 1
             k = one[owner[hit[first]]]
-            yield spans(ids[k], same[k], begin[k] + place[hit[first]], begin[k] + place[hit[last]] + size)
+            yield spans(ids[k], named[k], same[k], begin[k] + place[hit[first]], begin[k] + place[hit[last]] + size)
 
     return run
 
@@ -323,9 +327,17 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("same"), text.alias("text"))
 
 
+def _joined(rows: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
+    """By (doc_id, same), where a null doc_id equals another."""
+    found = found.withColumnsRenamed({"doc_id": "_doc_id", "same": "_same"})
+    on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("same") == F.col("_same"))
+    return rows.join(found, on, how).drop("_doc_id", "_same")
+
+
 def repeated_spans(docs: DataFrame, size: int = 400) -> DataFrame:
     """(doc_id, same, begins, ends): for each row with repeats, stretches of bytes (they may overlap) in which every byte
-    is covered by a `size`-byte string that also starts elsewhere in the corpus. `same` is xxhash64 of the text.
+    is covered by a `size`-byte string that also starts elsewhere in the corpus. `same` is xxhash64 of the text. Rows with a
+    null doc_id are rows like others.
     """
     spark = docs.sparkSession
     reducers = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -412,14 +424,15 @@ def repeat_digest(docs: DataFrame, size: int = 400) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of (doc_id, text) without its repeats.
 
     A byte goes if a `size`-byte string over it also starts anywhere else, in the same row or another; strings overlap,
-    never cross rows, and are judged on the input. Null counts as empty. Repeated rows repeat each other.
+    never cross rows, and are judged on the input. A null text counts as empty, a null doc_id stays null. Repeated rows
+    repeat each other.
     """
     spans = repeated_spans(docs, size)
     likely = _chosen(_rows(docs).filter(F.octet_length("text") >= size), _filter_of(spans), True)
-    joined = likely.join(spans, ["doc_id", "same"]).select("doc_id", "same", F.col("text").cast("binary"), "begins", "ends")
+    joined = _joined(likely, spans).select("doc_id", "same", F.col("text").cast("binary"), "begins", "ends")
     found = joined.mapInArrow(_cut_out(text=False), _CUT_SQL).dropDuplicates(["doc_id", "same"])
     rows = _rows(docs).select("doc_id", "same", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("whole"))
-    return rows.join(found, ["doc_id", "same"], "left").select(
+    return _joined(rows, found, "left").select(
         "doc_id",
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
@@ -432,7 +445,7 @@ def without_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
     """`docs` with the repeats cut out of `text`; a character cut in half goes whole, and so does a row left empty.
 
     All columns stay as they are but for n_chars, where there is one: it follows a text that changes. Rows without repeats
-    pass by without a shuffle, null and empty texts among them.
+    pass by without a shuffle, null and empty texts among them. A null doc_id stays null.
     """
     spans = repeated_spans(docs, size)
     place = _filter_of(spans)
@@ -440,7 +453,7 @@ def without_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     keyed = keyed.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("same"), "row")
     untouched = _chosen(keyed, place, False).select("row.*")
-    joined = _chosen(keyed, place, True).join(spans, ["doc_id", "same"], "left")
+    joined = _joined(_chosen(keyed, place, True), spans, "left")
     nothing = F.expr("CAST(array() AS ARRAY<BIGINT>)")
     joined = joined.withColumns({"begins": F.coalesce("begins", nothing), "ends": F.coalesce("ends", nothing)})
 

@@ -1,7 +1,8 @@
 """Token ids in binary shards: one concatenated id array per file, document bounds in Elias-Fano form.
 
-File: a header of seven little-endian 64-bit numbers (magic, documents, ids, bytes per id, and the lengths of the three
-parts), then the document ids, the bounds (0, ends of all documents) and the ids. Document ids and bounds are Elias-Fano
+File: a header of eight little-endian 64-bit numbers (magic, documents, those without a document id, ids, bytes per id,
+and the lengths of the three parts), then the document ids, the bounds (0, ends of all documents) and the ids. Documents
+without a document id come first and have only bounds and ids. Document ids and bounds are Elias-Fano
 sequences: about 2 + log2(range / count) bits each, with positions of every 256th entry for direct access.
 """
 
@@ -22,8 +23,8 @@ from stratalake.llm.bpe import Encoder
 from stratalake.llm.textbytes import slices, utf8
 from stratalake.sources.storage import stored, work_dir
 
-MAGIC = int.from_bytes(b"STRATOK1", "little")
-HEADER = struct.Struct("<7Q")
+MAGIC = int.from_bytes(b"STRATOK2", "little")
+HEADER = struct.Struct("<8Q")
 #: Ids of one file at most, unless a single document has more.
 SHARD_IDS = 16_000_000
 SAMPLE = 256
@@ -106,14 +107,15 @@ class EliasFano:
 
 
 def pack_shard(doc_ids: np.ndarray, bounds: np.ndarray, ids: np.ndarray) -> bytes:
+    """doc_ids are those of the last documents; the others, before them, have none."""
     width = 2 if not len(ids) or ids.max() < 2**16 else 4
     parts = [EliasFano.encode(doc_ids).to_bytes(), EliasFano.encode(bounds).to_bytes(), ids.astype(f"<u{width}").tobytes()]
-    return HEADER.pack(MAGIC, len(doc_ids), len(ids), width, *map(len, parts)) + b"".join(parts)
+    return HEADER.pack(MAGIC, len(bounds) - 1, len(bounds) - 1 - len(doc_ids), len(ids), width, *map(len, parts)) + b"".join(parts)
 
 
 def unpack_shard(raw: memoryview) -> tuple[EliasFano, EliasFano, np.ndarray]:
-    """(document ids, bounds, ids) of a file's bytes; nothing is copied."""
-    magic, _, n, width, *lengths = HEADER.unpack_from(raw)
+    """(document ids, bounds, ids) of a file's bytes; nothing is copied. Documents at the front may have no document id."""
+    magic, _, _, n, width, *lengths = HEADER.unpack_from(raw)
     if magic != MAGIC:
         raise ValueError("not a token shard")
     a = HEADER.size
@@ -149,12 +151,13 @@ def _write(folder: str, tokenizer: str, end_id: int, shard_ids: int):
 
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            named = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            keys = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             for i, j in slices(offsets):
                 ids, at = encoder.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 if size and size + len(ids) > shard_ids:
                     yield flush()
-                docs.append(keys[i:j])
+                docs.append(keys[i:j][named[i:j]])  # nulls are sorted first
                 parts.append(np.insert(ids, at[1:], end_id))
                 ends.append(np.diff(at) + 1)
                 size += len(parts[-1])
@@ -169,7 +172,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, shar
 
     `folder` must be one that all executors reach, by a URI pyarrow opens. Names ascend with
     doc_id. Null texts count as empty: just the end id. Repeated doc_ids keep all their rows, ordered by text. An empty
-    table writes nothing. doc_id must not be null.
+    table writes nothing. Rows with a null doc_id come first and stay without one.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -183,11 +186,12 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, shar
 def _read(batches):
     for batch in batches:
         for shard, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-            docs, bounds, ids = unpack_shard(memoryview(raw.as_buffer()))
+            docs, bounds, tokens = unpack_shard(memoryview(raw.as_buffer()))
             at = bounds.decode()
-            sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(at, at[1:])]
+            sums = [zlib.crc32(tokens[a:b].astype("<u4").tobytes()) for a, b in zip(at, at[1:])]
             n = len(sums)
-            columns = [pa.array([shard] * n), pa.array(docs.decode()), pa.array(at[:-1]), pa.array(np.diff(at)), pa.array(sums)]
+            ids = pa.concat_arrays([pa.nulls(n - docs.count, pa.int64()), pa.array(docs.decode())])
+            columns = [pa.array([shard] * n), ids, pa.array(at[:-1]), pa.array(np.diff(at)), pa.array(sums)]
             for k in range(0, n, 50_000):
                 yield pa.RecordBatch.from_arrays(
                     [c.slice(k, 50_000) for c in columns], names=["shard", "doc_id", "in_shard", "n_tokens", "ids_crc32"]

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stratalake.llm.attribution import attribute, section_tokens
@@ -355,3 +356,39 @@ def test_scoring_keeps_rare_grams(spark):
     # x is rare after the beginning (1 of 11, 2 distinct); then y, z, w and the end have each been seen once, alone.
     want = math.log10(1 / 13) + 4 * math.log10(1 / 2)
     assert math.isclose(got[11]["score"], want, rel_tol=1e-9) and got[10]["score"] == got[11]["score"]
+
+
+@pytest.fixture(scope="module")
+def unnamed(spark):
+    """Rows of one batch, some without a doc_id and some with one above 2^53; text that repeats in and across them."""
+    share_package(spark)
+    r = np.random.default_rng(11)
+    prose = lambda n: " ".join("".join(chr(97 + c) for c in r.integers(0, 26, 6)) for _ in range(n))
+    passage = prose(100)
+    out = [(2**53 + 1, prose(30)), (2**53 + 3, f"{prose(20)} {passage}"), (None, f"{passage} {prose(20)}"), (None, "short"), (None, None), (7, "short")]
+    return [*out, (None, f"{prose(9)} {passage}"), (8, f"{passage} {prose(9)} {passage}")]
+
+
+def test_null_ids_in_scoring(spark, unnamed):
+    df = spark.createDataFrame(unnamed, "doc_id bigint, text string").coalesce(1)
+    got = score_texts(df).collect()
+    tokens = lambda x: (x[0] is not None, x[0], x[1])
+    assert sorted(((r["doc_id"], r["n_tokens"]) for r in got), key=tokens) == sorted(((i, len(words(t)) + 1) for i, t in unnamed), key=tokens)
+
+
+def test_null_ids_in_repeats(spark, unnamed):
+    df = spark.createDataFrame(unnamed, "doc_id bigint, text string").coalesce(1)
+    named = df.withColumn("doc_id", F.coalesce("doc_id", F.xxhash64("text")))
+    kept = lambda d: sorted(tuple(r)[1:] for r in repeat_digest(d).collect())
+    assert kept(df) == kept(named) and sum(r["n_removed"] > 0 for r in repeat_digest(df).collect()) == 4
+    assert collections.Counter(r["doc_id"] for r in repeat_digest(df).collect()) == collections.Counter(i for i, _ in unnamed)
+    left = [(r["doc_id"], r["text"]) for r in without_repeats(df).collect()]
+    texts = sorted(r["text"] or "" for r in without_repeats(named).collect())
+    assert sorted(t or "" for _, t in left) == texts and {i for i, _ in left} == {i for i, _ in unnamed}
+
+
+def test_null_ids_in_token_shards(spark, unnamed):
+    df = spark.createDataFrame(unnamed, "doc_id bigint, text string").coalesce(1)
+    got = tokens_round_trip(df, VOCABULARY).collect()
+    crc = lambda t: zlib.crc32(_ids({0: t})[0].tobytes())
+    assert collections.Counter((r["doc_id"], r["ids_crc32"]) for r in got) == collections.Counter((i, crc(t)) for i, t in unnamed)
