@@ -1,16 +1,13 @@
-"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact check.
+"""Benchmark decontamination: item-sized windows found by shared shingles, exact check.
 
 Every shingle of every document is probed against the benchmark's; a hit says where a window of the item's own
-length would have to begin. Windows and items have 64-bit SimHashes. Two that differ in at most `radius` bits agree, in at
-least one of eight blocks, up to radius / 8 bits; items are indexed under all such block values, so a window finds
-every item within the radius by equality. What is found is verified by weighted shingle similarity. Only
-DataFrame functions are used; documents are exploded and filtered in one stage, without a shuffle.
+length would have to begin. Every such window is verified by weighted shingle similarity. SimHashes are not used: a
+hit names item and place already, so a Hamming radius could only drop windows that the check accepts. Windows that no
+shared shingle puts in line with the item are not tried. Only DataFrame functions are used; documents are exploded and filtered in one stage, without a shuffle.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +15,6 @@ from stratalake.sources.storage import stored
 
 #: Words of a shingle; items of fewer words are one shingle.
 SHINGLE = 5
-BLOCKS = 8
-#: Bits in which SimHashes of windows at the least similarity differ: 11 on average, with a deviation of 3.
-RADIUS = 23
 #: The benchmark's shingles are sent to all executors up to this many rows of 24 bytes; beyond, both sides are shuffled.
 MAX_BROADCAST_SHINGLES = 1_000_000
 
@@ -44,23 +38,7 @@ def _shingle_array(words: str, k: str) -> Column:
         ELSE transform(sequence(0, size({words}) - {k}), i -> CASE {whole} END) END""")
 
 
-def _simhash(hashes: str) -> Column:
-    """64-bit SimHash of an array of shingle hashes; a shingle counts as often as it comes."""
-    return F.expr(f"""aggregate(sequence(0, 63), 0L, (acc, b) -> acc | CASE WHEN 2 * aggregate({hashes}, 0L,
-        (n, h) -> n + (shiftright(h, b) & 1L)) > size({hashes}) THEN shiftleft(1L, b) ELSE 0L END)""")
-
-
-def _block(fingerprint: str, block: str) -> Column:
-    return F.expr(f"shiftright({fingerprint}, {64 // BLOCKS} * {block}) & {2 ** (64 // BLOCKS) - 1}L")
-
-
-def _near(radius: int) -> list[int]:
-    """Masks that change at most radius / BLOCKS bits of a block."""
-    width = 64 // BLOCKS
-    return [sum(1 << b for b in bits) for n in range(radius // BLOCKS + 1) for bits in combinations(range(width), n)]
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radius: int = RADIUS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> DataFrame:
     """(doc_id, item_id, start, similarity) of documents (doc_id, text) that hold a passage like an item (item_id, text).
 
     Words are runs of letters and digits, lower-cased. A window of as many words as the item has, from word `start` on, is
@@ -71,7 +49,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radiu
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.array_remove(_words(F.col("text").cast("string")), "").alias("iw"))
     items = items.filter("size(iw) > 0").distinct().withColumns({"n": F.size("iw"), "k": F.least(F.size("iw"), F.lit(SHINGLE))})
     items = items.withColumn("ih", _shingle_array("iw", "k")).select("item_id", "n", "k", "ih")
-    items = stored(items.withColumn("ifp", _simhash("ih")), "benchmark")
+    items = stored(items, "benchmark")
     index = items.select("item_id", "n", "k", F.posexplode("ih").alias("off", "h"))
     if items.agg(F.sum(F.size("ih"))).first()[0] is None:
         return docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, start bigint, similarity double")
@@ -90,21 +68,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75, radiu
         "doc_id", "item_id", "start", "k", F.slice("w", F.col("start") + 1, F.col("n")).alias("ww")
     )
     windows = windows.withColumn("wh", _shingle_array("ww", "k")).filter("size(wh) > 0").drop("ww", "k")
-    windows = stored(windows.withColumn("wfp", _simhash("wh")).distinct(), "benchmark-windows")
-
-    blocks = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("block")
-    keys = items.select("item_id", "ifp", blocks).select("item_id", "ifp", "block", _block("ifp", "block").alias("v"), F.explode(F.array(*[F.lit(m).cast("bigint") for m in _near(radius)])).alias("m"))
-    keys = keys.select("item_id", "ifp", "block", F.expr("v ^ m").alias("value"))
-    probes = windows.select("doc_id", "item_id", "start", "wh", "wfp", blocks).withColumn("value", _block("wfp", "block"))
-    near = probes.join(keys, ["item_id", "block", "value"]).filter(F.bit_count(F.expr("wfp ^ ifp")) <= radius)
-    near = near.select("doc_id", "item_id", "start", "wh").distinct()
+    windows = windows.distinct().withColumn("same", F.xxhash64("wh"))
 
     # Weighted similarity: sums of the lesser and of the greater weight over all shingles of the two.
-    weights = near.select("doc_id", "item_id", "start", "wh", F.size("wh").alias("nw"), F.explode("wh").alias("h"))
-    weights = weights.groupBy("doc_id", "item_id", "start", "wh", "nw", "h").agg(F.count("*").alias("cw"))
+    weights = windows.select("doc_id", "item_id", "start", "same", F.size("wh").alias("nw"), F.explode("wh").alias("h"))
+    weights = weights.groupBy("doc_id", "item_id", "start", "same", "nw", "h").agg(F.count("*").alias("cw"))
     item_weights = index.groupBy("item_id", "h").agg(F.count("*").alias("ci"))
     sizes = items.select("item_id", F.size("ih").alias("ni"))
-    common = weights.join(item_weights, ["item_id", "h"]).groupBy("doc_id", "item_id", "start", "wh", "nw").agg(F.sum(F.least("cw", "ci")).alias("c"))
+    common = weights.join(item_weights, ["item_id", "h"]).groupBy("doc_id", "item_id", "start", "same", "nw").agg(F.sum(F.least("cw", "ci")).alias("c"))
     scored = common.join(sizes, "item_id").withColumn("u", F.col("nw") + F.col("ni") - F.col("c"))
     like = scored.filter(100 * F.col("c") >= percent * F.col("u")).withColumn("similarity", F.col("c") / F.col("u"))
     best = F.max_by(F.struct("start", "similarity"), F.struct("similarity", -F.col("start")))

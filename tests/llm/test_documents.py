@@ -392,3 +392,13 @@ def test_null_ids_in_token_shards(spark, unnamed):
     got = tokens_round_trip(df, VOCABULARY).collect()
     crc = lambda t: zlib.crc32(_ids({0: t})[0].tobytes())
     assert collections.Counter((r["doc_id"], r["ids_crc32"]) for r in got) == collections.Counter((i, crc(t)) for i, t in unnamed)
+
+
+def test_contamination_of_windows_with_far_simhashes(spark):
+    # 258 of 300 words are copied and one word follows 42 times, whose shingle outweighs others in a SimHash.
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(300))) for i in range(12)]
+    near = [(i, " ".join([*t.split()[:258], *["0"] * 42])) for i, t in items]
+    less = [(100 + i, " ".join([*t.split()[:257], *["0"] * 43])) for i, t in items]  # 253 / 339
+    docs = spark.createDataFrame(near + less, "doc_id int, text string")
+    got = contaminated(docs, spark.createDataFrame(items, "item_id int, text string")).collect()
+    assert sorted(tuple(r) for r in got) == [(i, i, 0, 254 / 338) for i in range(12)]
