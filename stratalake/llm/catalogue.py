@@ -15,6 +15,7 @@ from stratalake.llm.langid import identify
 from stratalake.llm.packing import pack_documents
 from stratalake.llm.parsing import repeat_digest
 from stratalake.llm.quality import BASE_RULES, POLICIES, RULES, bit_mask, quality_report
+from stratalake.llm.ranking import rank_documents
 from stratalake.llm.scoring import score_texts
 from stratalake.llm.tokenbin import tokens_round_trip
 from stratalake.llm.workers import share_package
@@ -162,3 +163,26 @@ def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+    c AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+    s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM c),
+    i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark),
+    u AS (SELECT r, unnest(w) AS t FROM d),
+    f AS (SELECT r, t, count(*) AS tf FROM u SEMI JOIN i USING (t) GROUP BY r, t),
+    q AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, s GROUP BY t, docs),
+    x AS (SELECT item_id, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+          FROM i JOIN q USING (t) JOIN f USING (t) JOIN c USING (r), s GROUP BY item_id, r)
+    SELECT item_id, CAST(row_number() OVER o AS INTEGER) AS rank, doc_id, score
+    FROM x JOIN c USING (r) WHERE score > 0
+    WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) QUALIFY row_number() OVER o <= 50"""
+)
+def op11_blocked_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
