@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.llm.attribution import section_tokens
 from stratalake.llm.chat import PART_TURNS, perspectives
+from stratalake.llm.collocations import collocations
 from stratalake.llm.decontamination import contaminated
 from stratalake.llm.jaccard import jaccard_components
 from stratalake.llm.langid import identify
@@ -18,6 +20,7 @@ from stratalake.llm.quality import BASE_RULES, POLICIES, RULES, bit_mask, qualit
 from stratalake.llm.ranking import rank_documents
 from stratalake.llm.scoring import score_texts
 from stratalake.llm.tokenbin import tokens_round_trip
+from stratalake.llm.toxicity import toxicity
 from stratalake.llm.workers import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +189,35 @@ _TERMS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x40
 )
 def op11_blocked_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    f"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format('text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+               FROM documents WHERE text IS NOT NULL),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+    g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+          FROM w, (VALUES (1), (2), (3)) AS k(k)),
+    f AS (SELECT lang, k, phrase, count(*) AS c FROM g GROUP BY lang, k, phrase),
+    n AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 10),
+    x AS (SELECT c.*, j, array_to_string(w[1 : j], ' ') AS lp, array_to_string(w[j + 1 :], ' ') AS rp FROM c, (VALUES (1), (2)) AS j(j) WHERE j < k),
+    s AS (SELECT x.*, l.c AS l, r.c AS r, CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(l.c AS HUGEINT) * r.c) AS BIGINT) AS score
+          FROM x JOIN f l ON x.lang = l.lang AND x.lp = l.phrase JOIN f r ON x.lang = r.lang AND x.rp = r.phrase),
+    m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+    h AS (SELECT lang, sub, max(a) AS longer
+          FROM (SELECT lang, a, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS sub FROM c WHERE k = 3) GROUP BY lang, sub)
+    SELECT m.lang, CAST(row_number() OVER o AS INTEGER) AS rank, phrase, a, l, r, n, score
+    FROM m JOIN n ON m.lang = n.lang LEFT JOIN h ON m.lang = h.lang AND m.phrase = h.sub
+    WHERE longer IS NULL OR 100 * longer < 50 * a
+    WINDOW o AS (PARTITION BY m.lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= 2000"""
+)
+def op13_hat_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_random_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    offsets = F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("spans").cast("bigint").alias("n_spans"), F.array_join(offsets, ",").alias("offsets"))

@@ -18,17 +18,18 @@ def duck():
     return oracle.connect(SF_DIR)
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(entry.queries())
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.SQL))
 def test_query_matches_its_sql(spark, duck, name):
     df = catalogue.QUERIES[name](spark, SF_DIR)
     assert oracle.differences(df, duck, catalogue.SQL[name]) == []
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))  # these three are native
+    if name.split("_")[0] in ("op1", "op4", "op6"):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
 
 
 def test_perspectives(spark, rows):
