@@ -105,30 +105,32 @@ def test_collocations(spark, rows, monkeypatch, burst, spill, words):
     docs = [(str(lang) if (lang := rng.choice(["en", "de", ""])) else None, text()) for _ in range(250)]
     docs += [("en", None), ("en", ""), (None, "...,"), ("und", "new york " * 3_000), ("fr", "once only"), docs[0], docs[0]]
     df = spark.createDataFrame(docs, "lang string, text string").selectExpr("*", "1 AS n", "2 AS phrase", "3 AS rank").repartition(6)
-    counter = phrases._Counter.__init__
+    counter = phrases.Counter.__init__
 
-    def small(self, lang, length, filters, limit):
-        counter(self, lang, length, filters, spill)
+    def small(self, length, filters, limit):
+        counter(self, length, filters, spill)
         self.trie.burst = burst
 
-    monkeypatch.setattr(phrases._Counter, "__init__", small)
+    monkeypatch.setattr(phrases.Counter, "__init__", small)
     assert rows(phrases.collocations(df, 10, words, 40)) == plain_collocations(docs, 10, words, 40)
     assert rows(phrases.collocations(df.limit(0))) == []
 
 
 def test_trie_bursts_and_spills():
     rng = np.random.default_rng(1)
-    trie, want, got = phrases.HatTrie(3, burst=4), Counter(), Counter()
-    for a, b, c in rng.integers(0, 6, (3_000, 3)).tolist():
-        trie.add(a << 64 | b << 32 | c)
-        want[a << 64 | b << 32 | c] += 1
+    trie, want, got = phrases.HatTrie(63, burst=4), Counter(), Counter()
+    for _ in range(300):
+        a, b, c = rng.integers(1, 9, (3, 40)).astype(np.uint64)
+        block = a << np.uint64(42) | b << np.uint64(21) | c
+        trie.add(block)
+        want.update(block.tolist())
         if trie.size > 100:
-            for run in trie.spill(50):
-                got.update(dict(run))
+            assert isinstance(trie.root, list) and trie.size == sum(c.size for c in trie.containers())
+            for keys, counts in trie.spill(50):
+                got.update(dict(zip(keys.tolist(), counts.tolist())))
             assert trie.size <= 50
-    assert any(type(x) is phrases._Inner for x in trie.root.values()) or trie.size < 5
-    for run in trie.spill(0):
-        got.update(dict(run))
+    for keys, counts in trie.spill(0):
+        got.update(dict(zip(keys.tolist(), counts.tolist())))
     assert got == want and trie.size == 0
 
 
