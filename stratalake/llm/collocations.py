@@ -260,7 +260,8 @@ class Counter:
         crowded = len(self.spelled) > min(self.limit, (1 << self.id_bits) // 4)
         if not (everything or crowded or self.trie.size > self.limit):
             return
-        order = sorted(range(len(self.spelled)), key=lambda i: (self.langs[i], self.spelled[i]))
+        keys = [lang.encode() + b"\0" + word for lang, word in zip(self.langs, self.spelled)]
+        order = sorted(range(len(keys)), key=keys.__getitem__)
         rank = np.empty(len(order), U64)
         rank[order] = np.arange(len(order), dtype=U64)
         words = pa.array([self.spelled[i] for i in order], pa.binary())
