@@ -6,10 +6,11 @@ from stratalake.catalogue import query, table
 from stratalake.operators import feed, history
 from stratalake.operators import merge as dml
 from stratalake.operators.joins import join_as_of, valid_on
-from stratalake.operators.merge import Insert, Update, merge
+from stratalake.operators.merge import Delete, Insert, Update, merge
 from stratalake.operators.quality import reconcile as reconcile_counts
-from stratalake.plans.propagation import current_state, propagate, write_feed
+from stratalake.plans.propagation import current_state, propagate, save_snapshots, state_at, write_feed
 from stratalake.sources.storage import stored, work_dir
+from stratalake.sources.tables import write_parquet
 
 # Shared blocks. b = target before, s = source, m = merged, a = after deletes, a2 = after a second round.
 _UPSERT = """
@@ -135,6 +136,61 @@ def merge_by_source(spark, sf_dir):
     )
 
 
+_STORED = """
+t AS (SELECT o_orderkey AS k, year(o_orderdate) AS y, o_orderstatus AS st, CAST(o_totalprice AS DECIMAL(18,2)) AS p FROM orders WHERE o_orderkey % 5 <> 0),
+s AS (SELECT o_orderkey AS k, year(o_orderdate) AS y, 'X' AS st, CAST(o_totalprice AS DECIMAL(18,2)) AS p,
+             o_orderdate < TIMESTAMP '1993-01-01' OR o_orderpriority = '5-LOW' AS gone
+      FROM orders WHERE year(o_orderdate) IN (1992, 1996))
+"""
+
+
+def _stored_orders(spark, sf_dir):
+    """Orders by year, and a batch of changes: all of 1992 goes, and of 1996 what has low priority."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("k"),
+        F.year("o_orderdate").alias("y"),
+        F.col("o_orderstatus").alias("st"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("p"),
+        F.expr("o_orderdate < TIMESTAMP_NTZ '1993-01-01' OR o_orderpriority = '5-LOW'").alias("gone"),
+    )
+    path = work_dir(spark, "orders")
+    write_parquet(orders.filter("k % 5 <> 0").drop("gone"), path, partition_by=["y"])
+    return path, orders.filter("y IN (1992, 1996)").withColumn("st", F.lit("X"))
+
+
+@query(f"""
+WITH {_STORED}
+SELECT t.k, t.y, coalesce(s.st, t.st) AS st, t.p FROM t LEFT JOIN s ON t.k = s.k AND t.y = s.y WHERE s.gone IS NOT TRUE
+UNION ALL SELECT k, y, st, p FROM s WHERE NOT gone AND k NOT IN (SELECT k FROM t)
+""")
+def merge_table_delete(spark, sf_dir):
+    """A stored table by year: changed, new and deleted rows; the year that loses all rows loses its folder."""
+    path, changes = _stored_orders(spark, sf_dir)
+    values = {"k": "s.k", "y": "s.y", "st": "s.st", "p": "s.p"}
+    dml.merge_partitions(
+        spark, path, changes, ["k", "y"], ["y"],
+        matched=[Delete("s.gone"), Update({"st": "s.st"})], not_matched=[Insert(values, when="NOT s.gone")],
+    )
+    return spark.read.parquet(path).select("k", F.col("y").cast("bigint").alias("y"), "st", "p")
+
+
+@query(f"""
+WITH {_STORED}
+SELECT t.k, t.y, CASE WHEN s.k IS NOT NULL THEN s.st WHEN t.y = 1994 THEN 'old' ELSE t.st END AS st, t.p
+FROM t LEFT JOIN s ON t.k = s.k AND t.y = s.y WHERE NOT (s.k IS NULL AND t.y = 1995 AND t.p > 100000)
+UNION ALL SELECT k, y, st, p FROM s WHERE k NOT IN (SELECT k FROM t)
+""")
+def merge_table_by_source(spark, sf_dir):
+    """The same table with clauses for rows that the source does not have."""
+    path, changes = _stored_orders(spark, sf_dir)
+    dml.merge_partitions(
+        spark, path, changes.drop("gone"), ["k", "y"], ["y"],
+        matched=[Update({"st": "s.st"})], not_matched=[Insert()],
+        not_matched_by_source=[Delete("t.y = 1995 AND t.p > 100000"), Update({"st": F.lit("old")}, when="t.y = 1994")],
+    )
+    return spark.read.parquet(path).select("k", F.col("y").cast("bigint").alias("y"), "st", "p")
+
+
 @query(f"WITH {_UPSERT} SELECT k, st, p FROM a")
 def cdc_apply(spark, sf_dir):
     return feed.apply_feed(_before(spark, sf_dir), stored(_round_1(spark, sf_dir), "feed"), ["k"])
@@ -227,6 +283,28 @@ def as_of_version(spark, sf_dir):
     return states[0].unionByName(states[1]).unionByName(states[2])
 
 
+@query(f"""
+WITH {_UPSERT} SELECT 0 AS version, k, st, p FROM b UNION ALL SELECT 1, k, st, p FROM a UNION ALL SELECT 2, k, st, p FROM a2
+""")
+def as_of_snapshot(spark, sf_dir):
+    """The same states from a stored feed with a snapshot at every second version: nothing before it is read."""
+    path, snapshots = work_dir(spark, "feed"), work_dir(spark, "snapshots")
+    write_feed(_three_versions(spark, sf_dir), path)
+    save_snapshots(spark, path, snapshots, ["k"], every=2)
+    states = [state_at(spark, path, snapshots, v, ["k"]).select(F.lit(v).alias("version"), "k", "st", "p") for v in (0, 1, 2)]
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
+@query(f"WITH {_UPSERT} SELECT k, st, p FROM a2")
+def incremental_growing(spark, sf_dir):
+    """Two rounds into a table that begins with two buckets and splits them on the way."""
+    changes = _three_versions(spark, sf_dir)
+    target, progress = work_dir(spark, "target"), work_dir(spark, "progress")
+    for high in (0, 1, 2):
+        propagate(spark, feed.feed_range(changes, 0, high), target, progress, "orders", ["k"], buckets=2, rows_per_bucket=2_000)
+    return current_state(spark, target)
+
+
 @query(f"WITH {_UPSERT} SELECT k, st, p FROM a2")
 def incremental_two_rounds(spark, sf_dir):
     changes = _three_versions(spark, sf_dir)
@@ -398,3 +476,22 @@ def pit_join_ordered(spark, sf_dir):
 def pit_join_hot_keys(spark, sf_dir):
     """The same with every key treated as too large for one task."""
     return _pit(spark, sf_dir, max_versions=0, max_rows_per_key=0).select("o_orderkey", "k", "seg")
+
+
+@query(f"""
+WITH {_EVENTS},
+h AS (SELECT user_id, event_type AS state, v, ts AS vf, nx AS vt FROM e WHERE event_type <> 'error' AND (nx IS NULL OR nx > ts)),
+f AS (SELECT event_id, user_id, ts + INTERVAL 30 MINUTE AS at FROM events)
+SELECT event_id, f.user_id, state, v FROM f JOIN h ON f.user_id = h.user_id AND at >= vf AND (vt IS NULL OR at < vt)
+""")
+def pit_join_open(spark, sf_dir):
+    """What each user's state was half an hour after each event, from a history whose last versions have no end.
+
+    Users with more than eight versions take the ordered way, all others the join by range.
+    """
+    facts = table(spark, sf_dir, "events").select("event_id", "user_id", F.expr("ts + INTERVAL 30 MINUTES").alias("at"))
+    versions = stored(_history(spark, sf_dir), "history").withColumnRenamed("event_type", "state")
+    joined = join_as_of(
+        facts, versions, ["user_id"], "at", ["state", "v"], history.START, history.END, end_inclusive=False, max_versions=8
+    )
+    return joined.select("event_id", "user_id", "state", "v")

@@ -64,6 +64,17 @@ def stream_scd1(spark, sf_dir):
     return cdc.read_scd1(spark, log, ["user_id"], ["ts", "event_id"], ["event_id"])
 
 
+@query(f"WITH {_EVENTS} SELECT user_id, event_type, v FROM e WHERE rn = 1 AND event_type <> 'error'")
+def stream_scd1_stored(spark, sf_dir):
+    """The stored table; its first buckets are split as micro-batches arrive."""
+    target = work_dir(spark, "scd1-table")
+    cdc.stream_scd1_stored(
+        _event_stream(spark, sf_dir), **CDC, target=target, checkpoint=work_dir(spark, "stream"),
+        tiebreak=["event_id"], buckets=2, rows_per_bucket=200,
+    )
+    return cdc.read_scd1_stored(spark, target, ["ts", "event_id"])
+
+
 def _event_log(spark, sf_dir):
     log = work_dir(spark, "scd2")
     cdc.stream_scd2(_event_stream(spark, sf_dir), **CDC, log=log, checkpoint=work_dir(spark, "stream"), buckets=8)

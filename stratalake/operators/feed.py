@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.operators.merge import Delete, Insert, Update, merge
+from stratalake.operators.quality import guard
+from stratalake.sources.storage import stored
 
 CHANGE_TYPE, VERSION, COMMITTED = "_change_type", "_commit_version", "_commit_timestamp"
 INSERT, PRE, POST, DELETE = "insert", "update_preimage", "update_postimage", "delete"
@@ -29,11 +31,17 @@ def change_feed(
     """What changed between two states of a table with a unique key.
 
     One full outer join; an update gives its old and its new row. Columns are
-    compared null-safe.
+    compared null-safe. A key that a state has twice is refused: the grouping that finds it deals rows by the key,
+    as the join does, and costs no shuffle of its own.
     """
     columns = after.columns
-    old = before.select(*keys, F.struct(*columns).alias("_old"))
-    new = after.select(*keys, F.struct(*columns).alias("_new"))
+
+    def state(df: DataFrame, name: str) -> DataFrame:
+        row = F.struct(*columns).alias(name)
+        found = df.select(*keys, row).groupBy(*keys).agg(F.first(name).alias(name), F.count(F.lit(1)).alias("_n"))
+        return guard(found, F.col("_n") == 1, f"a key is not unique in the {'old' if name == '_old' else 'new'} state").drop("_n")
+
+    old, new = state(before, "_old"), state(after, "_new")
 
     def row(side: str, kind: str):
         return F.struct(*[F.col(f"{side}.`{c}`").alias(c) for c in columns], F.lit(kind).alias(CHANGE_TYPE))
@@ -79,8 +87,11 @@ def collapse(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def apply_feed(target: DataFrame, feed: DataFrame, keys: Sequence[str], collapsed: bool = False) -> DataFrame:
-    """Bring a target up to date: delete, update or insert by the last change of each key."""
-    changes = feed if collapsed else collapse(feed, keys)
+    """Bring a target up to date: delete, update or insert by the last change of each key.
+
+    The last changes are stored, as the merge reads them three times.
+    """
+    changes = feed if collapsed else stored(collapse(feed, keys), "collapsed")
     columns = {c: f"s.`{c}`" for c in target.columns}
     return merge(
         target,

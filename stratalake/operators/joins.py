@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.operators.ordering import MAX_ROWS_PER_KEY, carry_in, has_hot_key, range_chunks
+from stratalake.sources.storage import stored
+
+#: What every executor and the driver can be asked to hold.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
 
 def enrich(
     fact: DataFrame,
@@ -47,6 +52,22 @@ def valid_on(dim: DataFrame, day: str, valid_from: str = "valid_from", valid_to:
     return dim.filter((F.col(valid_from) <= date) & (F.col(valid_to) >= date))
 
 
+def join_broadcast(
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner", max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Ask for a broadcast join in this query only, where `right` is measured to be small enough.
+
+    `right` is stored and the bytes of its rows are added up, uncompressed; above `max_bytes` there is no hint and Spark
+    chooses. `how` must keep the rows of `left` apart: a broadcast right side cannot serve right or full joins.
+    """
+    if how.replace("_", "") not in ("inner", "left", "leftouter", "leftsemi", "semi", "leftanti", "anti"):
+        raise ValueError(f"a {how} join cannot broadcast its right side")
+    side = stored(right, "broadcast-side")
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in side.columns])))
+    measured = side.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return left.join(F.broadcast(side) if measured <= max_bytes else side, [on] if isinstance(on, str) else list(on), how)
+
+
 def join_as_of(
     fact: DataFrame,
     dim: DataFrame,
@@ -56,43 +77,62 @@ def join_as_of(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     how: str = "inner",
+    end_inclusive: bool = True,
     max_versions: int = 64,
     max_rows_per_key: int | None = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
     """Each fact row with the dimension version valid at its own time.
 
     Times of facts are compared as the type of `valid_from`, so a TIMESTAMP fact
-    falls on its day in a dimension of dates. Intervals are closed; overlapping ones of a key are refused.
-    Where keys have few versions, facts are joined by key and range. Beyond
-    that bound, facts and versions of a key are ordered together and the last
-    version is carried forward: the work is linear in facts plus versions, where
-    a range join would look at every pair. Both give the same rows.
+    falls on its day in a dimension of dates. A NULL `valid_to` means that the version is still in force. Ends belong
+    to their interval unless `end_inclusive` is False, as in histories whose versions end where the next one starts.
+    Overlapping intervals of a key are refused.
+
+    Facts are joined by key and range where a key has at most `max_versions` versions. Facts and versions of the
+    other keys, and of these only, are ordered together and the last version is carried forward: that work is
+    linear in facts plus versions, where a range join would look at every pair. Both give the same rows.
     """
     keys = list(on)
-    ahead = Window.partitionBy(*keys).orderBy(valid_from, valid_to)
-    known = dim.filter(F.col(valid_from).isNotNull() & (F.col(valid_from) <= F.col(valid_to)))
+    ahead = Window.partitionBy(*keys).orderBy(valid_from, F.col(valid_to).asc_nulls_last())
+    begin, end = F.col(valid_from), F.col(valid_to)
+    known = dim.filter(begin.isNotNull() & (end.isNull() | ((begin <= end) if end_inclusive else (begin < end))))
     for k in keys:
         known = known.filter(F.col(k).isNotNull())  # NULL keys never match
-    shape = (
-        known.select(*keys, (F.lag(valid_to).over(ahead) >= F.col(valid_from)).alias("over"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if("over").alias("over"))
-        .agg(F.max("n").alias("most"), F.sum("over").alias("over"))
-    ).first()
+    before = F.lag(F.struct(valid_to)).over(ahead)
+    reaches = (before[valid_to] >= begin) if end_inclusive else (before[valid_to] > begin)
+    overlap = before.isNotNull() & F.coalesce(reaches, F.lit(True))
+    versions = known.select(*keys, overlap.alias("over")).groupBy(*keys)
+    versions = versions.agg(F.count(F.lit(1)).alias("n"), F.count_if("over").alias("over"))
+    shape = versions.agg(F.max("n").alias("most"), F.sum("over").alias("over")).first()
     if shape["over"]:
         raise ValueError(f"{shape['over']} intervals of the dimension overlap the one before them")
+    named = {"valid_from": valid_from, "valid_to": valid_to, "how": how, "end_inclusive": end_inclusive}
     if (shape["most"] or 0) <= max_versions:
-        side = known.select(*[F.col(k).alias(f"_k_{k}") for k in keys], valid_from, valid_to, *columns)
-        moment = F.col(at).cast(dim.schema[valid_from].dataType)
-        condition = moment.between(side[valid_from], side[valid_to])
-        for k in keys:
-            condition = condition & (F.col(k) == F.col(f"_k_{k}"))
-        joined = fact.join(side, condition, how)
-        return joined.select(*[fact[c] for c in fact.columns], *[side[c] for c in columns])
-    return _carry_version(fact, known, keys, at, columns, valid_from, valid_to, how, max_rows_per_key)
+        return _join_range(fact, known, keys, at, columns, **named)
+    many = stored(versions.filter(F.col("n") > max_versions).select(*keys), "keys-of-many-versions")
+    plain = _join_range(fact.join(many, keys, "left_anti"), known.join(many, keys, "left_anti"), keys, at, columns, **named)
+    ordered = _carry_version(
+        fact.join(many, keys, "left_semi"), known.join(many, keys, "left_semi"), keys, at, columns,
+        max_rows_per_key=max_rows_per_key, **named,
+    )
+    return plain.select(*fact.columns, *columns).unionByName(ordered.select(*fact.columns, *columns))
+
+
+def _join_range(fact, known, keys, at, columns, valid_from, valid_to, how, end_inclusive):
+    side = known.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"), *[F.col(c).alias(f"_c_{c}") for c in columns])
+    moment = F.col(at).cast(known.schema[valid_from].dataType)
+    condition = (moment >= F.col("_from")) & _until(moment, F.col("_to"), end_inclusive)
+    for k in keys:
+        condition = condition & (F.col(k) == F.col(f"_k_{k}"))
+    joined = fact.join(side, condition, how)
+    return joined.select(*fact.columns, *[F.col(f"_c_{c}").alias(c) for c in columns])
+
+
+def _until(moment, end, inclusive: bool):
+    return end.isNull() | ((moment <= end) if inclusive else (moment < end))
 
 
-def _carry_version(fact, dim, keys, at, columns, valid_from, valid_to, how, max_rows_per_key):
+def _carry_version(fact, dim, keys, at, columns, valid_from, valid_to, how, end_inclusive, max_rows_per_key):
     version_type = dim.select(F.struct(valid_to, *columns)).schema[0].dataType
     fact_type = fact.select(F.struct(*fact.columns)).schema[0].dataType
     at_type = dim.schema[valid_from].dataType
@@ -117,9 +157,10 @@ def _carry_version(fact, dim, keys, at, columns, valid_from, valid_to, how, max_
         w = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
         carried = timeline.withColumn("_found", F.last("_version", ignorenulls=True).over(w))
     carried = carried.filter(F.col("_fact").isNotNull())
-    in_force = F.col("_at") <= F.col(f"_found.{valid_to}")
+    in_force = F.col("_found").isNotNull() & _until(F.col("_at"), F.col(f"_found.{valid_to}"), end_inclusive)
     for k in keys:
         in_force = in_force & F.col(k).isNotNull()  # NULL keys never match
+    in_force = F.coalesce(in_force & F.col("_at").isNotNull(), F.lit(False))
     if how == "inner":
         return carried.filter(in_force).select("_fact.*", *[F.col(f"_found.{c}").alias(c) for c in columns])
     return carried.select("_fact.*", *[F.when(in_force, F.col(f"_found.{c}")).alias(c) for c in columns])

@@ -13,7 +13,7 @@ from stratalake.functions.columns import ColumnLike, as_column, is_true
 from stratalake.operators.drift import evolve
 from stratalake.operators.quality import guard
 from stratalake.sources.storage import stored
-from stratalake.sources.tables import write_parquet
+from stratalake.sources.swap import finish_replacement, folders_of, replace_partitions
 
 # In clause conditions and values, target columns are `t.<name>` and source columns `s.<name>`.
 ALL = "*"
@@ -157,41 +157,62 @@ def _value(values: Mapping[str, ColumnLike] | str, name: str) -> Column | None:
 MAX_LISTED_PARTITIONS = 500
 
 
+def _any(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def touched_partitions(
+    target: DataFrame, source: DataFrame, partition_by: Sequence[str], not_matched_by_source: Sequence[Update | Delete] = ()
+) -> DataFrame:
+    """The rows of the partitions of `target` that a merge may change.
+
+    These are the partitions the source has rows for and those with rows that a by-source clause applies to. They are
+    named to the scan as literals; more than MAX_LISTED_PARTITIONS of them are found by a join.
+    """
+    names = list(partition_by)
+    touched = source.select(*names)
+    if not_matched_by_source:
+        applies = _any([_applies(c) for c in not_matched_by_source])
+        touched = touched.union(target.alias("t").filter(applies).select(*[F.col(f"t.`{c}`") for c in names]))
+    touched = touched.distinct()
+    values = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if len(values) > MAX_LISTED_PARTITIONS:
+        return target.join(touched, names, "left_semi")
+    if len(names) == 1:
+        return target.filter(F.col(names[0]).isin([r[0] for r in values]))
+    return target.filter(_any([reduce(lambda a, b: a & b, [F.col(c) == F.lit(r[c]) for c in names]) for r in values]))
+
+
 def merge_partitions(
     spark: SparkSession,
     path: str,
     source: DataFrame,
     on: Sequence[str],
-    partition_by: Sequence[str],
-    matched: Sequence[Update] = (),
+    partition_by: Sequence[str] = (),
+    matched: Sequence[Update | Delete] = (),
     not_matched: Sequence[Insert] = (),
+    not_matched_by_source: Sequence[Update | Delete] = (),
     **options: bool,
 ) -> None:
-    """Merge into a partitioned table, reading and rewriting only the partitions the source touches.
+    """MERGE with all its clauses into a stored table, reading and rewriting only partitions that may change.
 
-    The partition columns must be part of the key and not NULL. The new content is complete in
-    storage before any old partition is replaced, and merging again gives the
-    same table. Deletes are not offered: a partition left without rows would not
-    be replaced.
+    The partition columns must be part of the key and not NULL in the source; a table without partitions is replaced
+    as a whole. A partition whose last row is deleted goes, so a partitioned table without any rows is an empty
+    folder. New content is complete in storage before any old folder is replaced, rows are written once, and a
+    run that was killed is finished by the next one; merging the same source again gives the same table.
     """
-    if not set(partition_by) <= set(on):
+    names = list(partition_by)
+    if not set(names) <= set(on):
         raise ValueError("partition columns must be part of the key")
-    if any(isinstance(clause, Delete) for clause in matched):
-        raise ValueError("merge_partitions cannot delete")
-    for column in partition_by:
+    finish_replacement(spark, path)
+    for column in names:
         source = guard(source, F.col(column).isNotNull(), f"NULL in partition column {column}")
-    touched = source.select(*partition_by).distinct()
+    source = stored(source, "merge-source")
     target = spark.read.parquet(path)
-    values = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(values) <= MAX_LISTED_PARTITIONS:
-        # Literals prune the scan; more partitions than that are found by a join.
-        one = [reduce(lambda a, b: a & b, [F.col(c) == F.lit(r[c]) for c in partition_by]) for r in values]
-        only = F.col(partition_by[0]).isin([r[0] for r in values]) if len(partition_by) == 1 else None
-        target = target.filter(only if only is not None else reduce(lambda a, b: a | b, one, F.lit(False)))
-    else:
-        target = target.join(touched, list(partition_by), "left_semi")
-    merged = stored(merge(target, source, on, matched, not_matched, **options), "merge")
-    write_parquet(merged.hint("rebalance", *partition_by), path, partition_by=partition_by)
+    if names:
+        target = touched_partitions(target, source, names, not_matched_by_source)
+    merged = merge(target, source, on, matched, not_matched, not_matched_by_source, **options)
+    replace_partitions(merged, path, names, folders_of(target, len(names)))
 
 
 def update_where(df: DataFrame, condition: ColumnLike, values: Mapping[str, ColumnLike]) -> DataFrame:

@@ -68,17 +68,49 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder that hold data (`name=value`); none if it is missing."""
+    if not path_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return sorted(n for n in names if "=" in n)
+
+
+def save_bucket_count(spark: SparkSession, table: str, count: int) -> None:
+    """Record the number of buckets; the first one recorded stays known."""
+    root = f"{table.rstrip('/')}-buckets"
+    version = 0 if load_version(spark, root, 0) is None else count
+    save_version(spark.range(1).select(F.lit(count).alias("buckets")), root, version)
+
+
+def saved_bucket_counts(spark: SparkSession, table: str) -> tuple[int, int] | None:
+    """(buckets at the beginning, buckets now) of a table."""
+    root = f"{table.rstrip('/')}-buckets"
+    first = load_version(spark, root, 0)
+    return None if first is None else (first.first()["buckets"], load_version(spark, root).first()["buckets"])
+
+
 def fixed_buckets(spark: SparkSession, table: str, buckets: int | None, default: int = 64) -> int:
-    """The bucket count a table was begun with, kept beside it; the first call settles it, another count is refused."""
-    known = load_version(spark, f"{table.rstrip('/')}-buckets", 0)
+    """The bucket count a table was begun with, kept beside it; the first call settles it, another count is refused.
+
+    A table that has folders but no count must be told it: a guess would look for keys in the wrong folders.
+    """
+    known = saved_bucket_counts(spark, table)
     if known is None:
-        chosen = buckets or default
-        save_version(spark.range(1).select(F.lit(chosen).alias("buckets")), f"{table.rstrip('/')}-buckets", 0)
-        return chosen
-    found = known.first()["buckets"]
-    if buckets not in (None, found):
-        raise ValueError(f"{table} has {found} buckets, not {buckets}")
-    return found
+        if buckets is None and subfolders(spark, table):
+            raise ValueError(f"{table} has folders but no bucket count; name the one it was written with")
+        save_bucket_count(spark, table, buckets or default)
+        return buckets or default
+    if buckets not in (None, known[0]):
+        raise ValueError(f"{table} has {known[0]} buckets, not {buckets}")
+    return known[0]
 
 
 def save_progress(spark: SparkSession, root: str, pipeline: str, source: str, last_version: int) -> None:

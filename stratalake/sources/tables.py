@@ -42,7 +42,8 @@ def write_table(
 
     `path` makes the table external. `replace_schema` lets an overwrite change
     the columns. `merge_schema` lets an append bring new columns (older rows read
-    NULL) or leave some out.
+    NULL) or leave some out, and an overwrite add columns. Without either, columns that are new, missing or of
+    another type are refused; the order of columns does not matter.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
@@ -51,6 +52,14 @@ def write_table(
         added = [f for f in df.schema if f.name not in table.columns]
         if added and not merge_schema:
             raise ValueError(f"columns not in {name}: {[f.name for f in added]}")
+        if not (mode == "append" and merge_schema):
+            missing = [c for c in table.columns if c not in df.columns]
+            if missing:
+                raise ValueError(f"columns of {name} that are not given: {missing}")
+            types = {f.name: f.dataType for f in table.schema}
+            retyped = [f"{f.name} {types[f.name].simpleString()} to {f.dataType.simpleString()}" for f in df.schema if f.name in types and f.dataType != types[f.name]]
+            if retyped:
+                raise ValueError(f"columns of {name} would change type: {retyped}")
         if added and mode == "append":
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")

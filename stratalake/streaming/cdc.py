@@ -6,6 +6,8 @@ large the table has grown; events may arrive in any order, since order is only
 ever taken from the sequence column; and a replayed batch rewrites its own folder.
 `fold_scd1` shortens a log by writing its current state as one batch;
 `refresh_scd2` keeps a stored copy of the history, rewriting only what changed.
+`stream_scd1_stored` keeps the type 1 table itself: it is read as it is, and a
+micro-batch reads and rewrites only the key buckets it has events for.
 """
 
 from __future__ import annotations
@@ -19,11 +21,13 @@ from pyspark.sql.streaming import StreamingQuery
 from stratalake.functions.columns import ColumnLike, as_column, is_true
 from stratalake.operators.history import newest_events, scd2
 from stratalake.operators.ordering import MAX_ROWS_PER_KEY
+from stratalake.sources.buckets import BUCKET, ROWS_PER_BUCKET, grow, open_buckets, read_buckets, write_buckets
 from stratalake.sources.storage import fixed_buckets, read_progress, remove_folder, save_progress, stored
+from stratalake.sources.swap import finish_replacement
 from stratalake.sources.tables import write_parquet
 from stratalake.streaming.files import run_batches
 
-SEQUENCE, DELETED, BATCH, BUCKET = "__seq", "__deleted", "_batch_id", "_bucket"
+SEQUENCE, DELETED, BATCH = "__seq", "__deleted", "_batch_id"
 
 
 def _tagged(events: DataFrame, sequence_by: ColumnLike, delete_when: ColumnLike) -> DataFrame:
@@ -68,6 +72,61 @@ def fold_scd1(
     newest.write.mode("overwrite").parquet(f"{folded}/{BATCH}=-1")
 
 
+def stream_scd1_stored(
+    events: DataFrame,
+    keys: Sequence[str],
+    sequence_by: ColumnLike,
+    delete_when: ColumnLike,
+    target: str,
+    checkpoint: str,
+    tiebreak: Sequence[str] = (),
+    buckets: int | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> StreamingQuery:
+    """Upsert each micro-batch into a stored table; read it with `read_scd1_stored`.
+
+    Every key keeps its newest sequence, a deleted one as a tombstone, so events that arrive late or again change
+    nothing. Of events equal in sequence and `tiebreak` the first to arrive stays. The table starts with `buckets`
+    buckets and splits them as it grows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert_newest(_tagged(batch, sequence_by, delete_when), target, keys, tiebreak, buckets, rows_per_bucket)
+
+    return run_batches(events, write, checkpoint)
+
+
+def upsert_newest(
+    tagged: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    buckets: int | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> list[int]:
+    """Upsert events that carry sequence and deletion mark; the buckets that were rewritten."""
+    spark = tagged.sparkSession
+    finish_replacement(spark, target)
+    bucket = open_buckets(spark, target, buckets).of(keys)
+    fresh = stored(newest_events(tagged, keys, SEQUENCE, tiebreak).withColumn(BUCKET, bucket), "scd1-batch")
+    touched = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())
+    if not touched:
+        return []
+    both = fresh.withColumn("_kept", F.lit(False))
+    known = read_buckets(spark, target, touched)
+    if known is not None:
+        both = both.unionByName(known.withColumn("_kept", F.lit(True)), allowMissingColumns=True)
+    newest = newest_events(both, keys, SEQUENCE, [*tiebreak, "_kept"]).drop("_kept")
+    write_buckets(newest, target, touched)
+    grow(spark, target, keys, touched, rows_per_bucket)
+    return touched
+
+
+def read_scd1_stored(spark: SparkSession, target: str, except_columns: Sequence[str] = ()) -> DataFrame:
+    """Current state per key of a table that `stream_scd1_stored` keeps."""
+    return spark.read.parquet(target).filter(~F.col(DELETED)).drop(SEQUENCE, DELETED, BUCKET, *except_columns)
+
+
 def stream_scd2(
     events: DataFrame,
     keys: Sequence[str],
