@@ -481,8 +481,8 @@ def pit_join_hot_keys(spark, sf_dir):
 @query(f"""
 WITH {_EVENTS},
 h AS (SELECT user_id, event_type AS state, v, ts AS vf, nx AS vt FROM e WHERE event_type <> 'error' AND (nx IS NULL OR nx > ts)),
-f AS (SELECT event_id, user_id, ts + INTERVAL 30 MINUTE AS at FROM events)
-SELECT event_id, f.user_id, state, v FROM f JOIN h ON f.user_id = h.user_id AND at >= vf AND (vt IS NULL OR at < vt)
+f AS (SELECT event_id, user_id, ts + INTERVAL 30 MINUTE AS moment FROM events)
+SELECT event_id, f.user_id, state, v FROM f JOIN h ON f.user_id = h.user_id AND moment >= vf AND (vt IS NULL OR moment < vt)
 """)
 def pit_join_open(spark, sf_dir):
     """What each user's state was half an hour after each event, from a history whose last versions have no end.
