@@ -333,8 +333,31 @@ def _bits_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
 
 
-def _possible(percent: int):
-    """Pairs of each list that sizes and sketches do not rule out; members of dense and of long lists besides."""
+def _forest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, n: int) -> np.ndarray:
+    """Which pairs (a, b) make a spanning forest of the closest ones; all ties are settled alike everywhere."""
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    kept = []
+    order = np.lexsort((b, a, apart))
+    for i, x, y in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            kept.append(i)
+    return np.array(kept, np.int64)
+
+
+def _possible(percent: int, first_look: bool):
+    """Pairs of each list that sizes and sketches do not rule out and whose components differ.
+
+    At a first look only a spanning forest of them, the closest first, so that a family of near copies gives no more pairs
+    than it has members. Later all, with the members of dense and of long lists besides.
+    """
 
     def keeps(na, nb, apart):
         return (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (
@@ -344,6 +367,7 @@ def _possible(percent: int):
     def run(key, lists: pa.Table, nodes: pa.Table) -> pa.Table:
         known, first = np.unique(nodes.column("node").to_numpy(), return_index=True)
         size = nodes.column("n").to_numpy()[first]
+        component = nodes.column("component").to_numpy()[first]
         column = nodes.column("sketch").combine_chunks()
         words = pc.list_value_length(column).to_numpy()
         flat, begins = column.flatten().to_numpy().view(U64), np.cumsum(words) - words
@@ -369,12 +393,21 @@ def _possible(percent: int):
         at = np.concatenate([[0], np.cumsum(lengths)])
         bounds = np.append(at[begin], at[-1])
         sizes = np.diff(bounds)
-        out_a, out_b, told, kinds = [], [], [], []
+        out_a, out_b, far, told, kinds = [], [], [], [], []
+
+        def closest(*lists):
+            a, b, apart = (np.concatenate(x) for x in lists)
+            kept = _forest(a, b, apart, len(known))
+            return a[kept], b[kept], apart[kept]
+
         shortest = np.minimum.reduceat(words[where], bounds[:-1]) if len(sizes) else sizes
         # Lists of the same length are looked at together.
         for k, w in {*zip(sizes.tolist(), shortest.tolist())}:
             which = np.flatnonzero((sizes == k) & (shortest == w))
+            if k > MAX_LIST and first_look:
+                continue
             if k > MAX_LIST:
+                which = [c for c in which if (component[where[bounds[c] : bounds[c + 1]]] != component[where[bounds[c]]]).any()]
                 told += [where[bounds[c] : bounds[c + 1]] for c in which]
                 kinds += [np.full(k, -1)] * len(which)
                 continue
@@ -388,15 +421,25 @@ def _possible(percent: int):
                 good = np.zeros((len(some), len(i)), bool)
                 for s in range(0, len(i), chunk):
                     x, y = rows[:, i[s : s + chunk]], rows[:, j[s : s + chunk]]
-                    good[:, s : s + chunk] = keeps(size[x], size[y], _bits_apart(sketch[row[x]], sketch[row[y]]))
-                dense = good.sum(axis=1) > DENSE * k
+                    good[:, s : s + chunk] = (component[x] != component[y]) & keeps(
+                        size[x], size[y], _bits_apart(sketch[row[x]], sketch[row[y]])
+                    )
+                dense = (good.sum(axis=1) > DENSE * k) & (not first_look)
                 good[np.ix_(dense, i > 0)] = False
                 r, p = np.nonzero(good)
                 out_a.append(rows[r, i[p]])
                 out_b.append(rows[r, j[p]])
+                if first_look:
+                    x, y = out_a[-1], out_b[-1]
+                    far.append(_bits_apart(sketch[row[x]], sketch[row[y]]) / (size[x] + size[y]))
+                    if sum(map(len, far)) > 2_000_000:
+                        out_a, out_b, far = ([x] for x in closest(out_a, out_b, far))
+                    continue
                 told += list(rows[dense])
                 kinds += [np.full(k, ids[begin[c]]) for c in some[dense]]
         empty = [np.zeros(0, np.int64)]
+        if first_look:
+            out_a, out_b, far = ([x] for x in closest(out_a or empty, out_b or empty, far or [np.zeros(0)]))
         pair = np.unique(np.stack([np.concatenate(out_a or empty), np.concatenate(out_b or empty)]), axis=1)
         a, b = np.minimum(known[pair[0]], known[pair[1]]), np.maximum(known[pair[0]], known[pair[1]])
         member = known[np.concatenate(told or empty)]
@@ -413,13 +456,16 @@ def _possible(percent: int):
     return run
 
 
-def _similar(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
+def _families(pairs: DataFrame) -> DataFrame:
+    return stored(connected_components(pairs), "jaccard-families")
+
+
+def _similar(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, families: DataFrame, percent: int, k: int) -> DataFrame:
     """Links among the stored pairs (a, b), by exact intersection: at least those that make the same components.
 
-    Pairs that hang together are verified together, so that a set travels once and not with every pair; a family with
-    more than BLOCK_SHINGLES shingles is dealt into blocks of its records by block.
+    Pairs of a family (node, component) are verified together, so that a set travels once and not with every pair; both ends
+    of a pair are in the same one. A family with more than BLOCK_SHINGLES shingles is dealt into blocks of its records by block.
     """
-    families = stored(connected_components(pairs), "jaccard-families")
     size = families.join(nodes.select("node", "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
     slot = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("slot")
     placed = stored(families.join(size, "component").select("node", "component", slot), "jaccard-placed")
@@ -490,12 +536,12 @@ def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _rare_prefix_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of `nodes` (node, component) across components that share one of their rarest shingles.
+    """Pairs of `nodes` (node, component, sketch) across components that share one of their rarest shingles.
 
     Two sets of similarity p/100 share a shingle within the first size - ceil(size * p / 100) + 1 of each, in any
     order that is common to all sets; rarest first keeps the lists short.
     """
-    tokens = sets.join(nodes, "node").select(
+    tokens = sets.join(nodes.drop("sketch"), "node").select(
         "node", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("token")
     )
     spread = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("c1"), F.max("component").alias("c2"))
@@ -505,12 +551,20 @@ def _rare_prefix_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataF
     rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "token"))
     length = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
     prefix = shared.join(own, "node").withColumn("rank", rank).filter(F.col("rank") + F.col("n") - F.col("m") <= length)
-    prefix = prefix.select("node", "component", "n", "token")
-    other = prefix.select(F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), "token")
+    prefix = prefix.select("node", "component", "n", "token").join(nodes.select("node", "sketch"), "node")
+    other = prefix.select(
+        F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), "token", F.col("sketch").alias("other")
+    )
+    # Sketches of one length rule out most pairs that are not similar, as in the lists.
+    apart = F.aggregate(
+        F.zip_with("sketch", "other", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x
+    )
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("nb"))
     pairs = prefix.join(other, "token").filter(
         (F.col("component") < F.col("cb"))
         & (100 * F.col("n") >= percent * F.col("nb"))
         & (100 * F.col("nb") >= percent * F.col("n"))
+        & ((F.size("sketch") != F.size("other")) | near)
     )
     return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
@@ -542,13 +596,24 @@ def jaccard_components(docs: DataFrame, percent: int = 75, k: int = 5, parts: in
     )
     nodes = classes.select(F.col("h1").alias("node"), "h2", "doc_id", "n", "sketch")
     lists = found.filter("list_id IS NOT NULL").select("part", "list_id", "members")
-    asked = lists.select(F.col("part").alias("where"), F.explode("members").alias("node")).distinct()
-    asked = asked.join(nodes.select("node", "n", "sketch"), "node").select("where", "node", "n", "sketch")
-    looked = lists.groupBy("part").cogroup(asked.groupBy("where"))
-    looked = stored(looked.applyInArrow(_possible(percent), "a bigint, b bigint, list_id bigint"), "jaccard-possible")
-
-    pairs = stored(looked.filter("list_id IS NULL").select("a", "b").distinct(), "jaccard-pairs")
-    components = stored(connected_components(_similar(texts, nodes, pairs, percent, k)), "components")
+    asked = stored(lists.select(F.col("part").alias("where"), F.explode("members").alias("node")).distinct(), "jaccard-asked")
+
+    def look(components: DataFrame | None) -> DataFrame:
+        told = nodes.select("node", "n", "sketch")
+        told = told.withColumn("component", F.col("node")) if components is None else _with_component(told, components)
+        told = asked.join(told, "node").select("where", "node", "n", "sketch", "component")
+        looked = lists.groupBy("part").cogroup(told.groupBy("where"))
+        looked = looked.applyInArrow(_possible(percent, components is None), "a bigint, b bigint, list_id bigint")
+        return stored(looked, "jaccard-possible")
+
+    # The closest pairs of each part link nearly all that belongs together; then the pairs that are still apart.
+    closest = stored(look(None).select("a", "b").distinct(), "jaccard-closest")
+    families = _families(closest)  # and of all possible pairs, which these connect
+    components = stored(connected_components(_similar(texts, nodes, closest, families, percent, k)), "components")
+    looked = look(components)
+    pairs = looked.filter("list_id IS NULL").select("a", "b").distinct()
+    pairs = stored(pairs.join(closest, ["a", "b"], "left_anti"), "jaccard-pairs")
+    components = _merged(components, _similar(texts, nodes, pairs, families, percent, k))
 
     # What is left: pairs of dense lists whose components differ, long lists, uncovered records.
     dense = looked.filter("list_id <> -1").select("list_id", F.col("a").alias("node")).distinct()
@@ -568,9 +633,9 @@ def jaccard_components(docs: DataFrame, percent: int = 75, k: int = 5, parts: in
     rest = rest.union(looked.filter("list_id = -1").select("a")).union(classes.filter("NOT covered").select("h1"))
     rest = stored(_with_component(rest.distinct(), components), "jaccard-rest")
     sets = stored(_sets(texts, nodes, rest.select("node", F.lit(0).cast("bigint").alias("key")), k), "jaccard-sets")
-    across = across.union(_rare_prefix_pairs(sets, rest, percent)).distinct()
+    across = across.union(_rare_prefix_pairs(sets, rest.join(nodes.select("node", "sketch"), "node"), percent)).distinct()
     across = stored(across.join(pairs, ["a", "b"], "left_anti"), "jaccard-across")
-    components = _merged(components, _similar(texts, nodes, across, percent, k))
+    components = _merged(components, _similar(texts, nodes, across, _families(across), percent, k))
 
     nodes = nodes.select("node", "h2", "doc_id")
     tops = _with_component(nodes, components).groupBy("component").agg(F.min("doc_id").alias("component_id"))
