@@ -1,5 +1,6 @@
 """Upserts, change feeds and dimension history."""
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratalake.catalogue import query, table
@@ -495,3 +496,25 @@ def pit_join_open(spark, sf_dir):
         facts, versions, ["user_id"], "at", ["state", "v"], history.START, history.END, end_inclusive=False, max_versions=8
     )
     return joined.select("event_id", "user_id", "state", "v")
+
+
+@query("""
+SELECT 'l_orderkey' AS key, count(*) > count(DISTINCT l_orderkey) AS refused FROM lineitem
+UNION ALL SELECT 'o_orderkey', count(*) > count(DISTINCT o_orderkey) FROM orders
+""")
+def merge_ambiguous(spark, sf_dir):
+    """Lines as a source match an order several times, which is refused; orders match once."""
+    target = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("p"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_extendedprice").alias("p"))
+    out = None
+    for key, source in (("l_orderkey", lines), ("o_orderkey", target)):
+        try:
+            merge(target, source, ["k"], matched=[Update({"p": "s.p"})]).agg(F.sum("p")).collect()
+            refused = False
+        except PySparkException as error:
+            if "several source rows" not in str(error):
+                raise
+            refused = True
+        row = source.agg(F.lit(key).alias("key"), F.lit(refused).alias("refused"))
+        out = row if out is None else out.unionByName(row)
+    return out

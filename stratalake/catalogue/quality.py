@@ -1,9 +1,12 @@
 """Profiling, rules, quarantine, expectations, deduplication and logs."""
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratalake.catalogue import query, table
 from stratalake.operators import quality
+from stratalake.sources import tables
+from stratalake.sources.storage import work_dir
 
 # Rejection reasons are the first failing rule's name.
 RULES = [
@@ -152,3 +155,41 @@ def ingestion_log(spark, sf_dir):
     log = quality.ingestion_entry(partial, "b-001", "o_orderpriority", status="FALLIDO")
     log = quality.log_ingestion(log, quality.ingestion_entry(orders, "b-001", "o_orderpriority"))
     return quality.log_ingestion(log, quality.ingestion_entry(customer, "b-002", "c_mktsegment"))
+
+
+@query("""
+SELECT c_custkey, c_acctbal, (SELECT count(*) > 0 FROM customer WHERE c_acctbal <= 0) AS refused
+FROM customer WHERE c_acctbal > 0
+""")
+def checked_write(spark, sf_dir):
+    """Rows that pass are written; a later batch with a row that does not leaves nothing behind."""
+    path = work_dir(spark, "checked")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    checks = {"positive": "c_acctbal > 0"}
+    tables.checked_write(customer.filter("c_acctbal > 0"), checks, path, not_null=["c_custkey"])
+    try:
+        tables.checked_write(customer.filter("c_acctbal <= 0"), checks, path)
+        refused = False
+    except PySparkException as error:
+        if "check violated: positive" not in str(error):
+            raise
+        refused = True
+    return spark.read.parquet(path).withColumn("refused", F.lit(refused))
+
+
+@query("""
+SELECT 'l_orderkey' AS key, count(*) = count(DISTINCT l_orderkey) AS is_unique FROM lineitem
+UNION ALL SELECT 'o_orderkey', count(*) = count(DISTINCT o_orderkey) FROM orders
+""")
+def assert_unique(spark, sf_dir):
+    out = None
+    for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+        rows = table(spark, sf_dir, name)
+        try:
+            quality.assert_unique(rows, key)
+            unique = True
+        except ValueError:
+            unique = False
+        row = rows.agg(F.lit(key).alias("key"), F.lit(unique).alias("is_unique"))
+        out = row if out is None else out.unionByName(row)
+    return out

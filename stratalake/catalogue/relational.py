@@ -290,7 +290,7 @@ def gold_windows(spark, sf_dir):
     g = stored(monthly_sales(spark, sf_dir), "gold")
     series = ["brand", "pr", "y"]
     df = with_ranks(g, ["pr", "y", "mo"], "v", "rk", "drk")
-    df = with_running_total(df, series, "mo", "v", "ytd", "decimal(28,2)")
+    df = with_running_total(df, series, "mo", "v", "ytd", "decimal(28,2)", max_steps_per_group=None)
     df = with_percent_change(with_previous(df, series, "mo", "v", "prev", None), "v", "prev", "change_pct")
     return df.withColumns(
         {
@@ -317,6 +317,33 @@ def ranks_hot_groups(spark, sf_dir):
     return ranked.withColumns({"rk": F.col("rk").cast("bigint"), "drk": F.col("drk").cast("bigint")})
 
 
+@query("""
+SELECT o_orderstatus, o_orderdate, o_orderkey,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate
+            RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS running
+FROM orders
+""")
+def running_total_hot(spark, sf_dir):
+    """Three groups that hold the whole table, with every group treated as too long for one task."""
+    orders = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderdate", "o_orderkey", money("o_totalprice").alias("price"))
+    totals = with_running_total(orders, ["o_orderstatus"], "o_orderdate", "price", "running", "decimal(28,2)", max_steps_per_group=0)
+    return totals.drop("price")
+
+
+@query("""
+SELECT 8 AS partitions, count(*) AS row_count, true AS balanced FROM orders
+""")
+def partition_sizes(spark, sf_dir):
+    """Rows per partition of a repartitioned table, by their partition id."""
+    spread = table(spark, sf_dir, "orders").select("o_orderkey").repartition(8)
+    sizes = spread.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(
+        F.count(F.lit(1)).cast("int").alias("partitions"),
+        F.sum("n").alias("row_count"),
+        (F.max("n") <= F.min("n") + 16).alias("balanced"),
+    )
+
+
 @query("""
 SELECT * FROM (
   SELECT CAST(year(o_orderdate) AS BIGINT) AS y, o_orderstatus, o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS price,

@@ -121,3 +121,18 @@ def stream_rescued(spark, sf_dir):
     return spark.read.parquet(target).select(
         "c_custkey", "c_name", F.get_json_object("_rescued_data", "$.c_mktsegment").alias("rescued_segment")
     )
+
+
+@query("""
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN 0 ELSE 1 END AS first_run FROM customer
+""")
+def stream_restart(spark, sf_dir):
+    """Two runs on one checkpoint: the second reads only the files that came after the first."""
+    lots, target, checkpoint = work_dir(spark, "lots"), work_dir(spark, "bronze"), work_dir(spark, "stream")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    for first_run, remainder in ((1, 1), (0, 0)):
+        lot = customer.filter(F.col("c_custkey") % 2 == remainder).withColumn("first_run", F.lit(first_run))
+        lot.write.mode("append").parquet(lots)
+        stream = stream_files(spark, lots, "parquet", "c_custkey BIGINT, c_name STRING, first_run INT")
+        run_append(stream, target, checkpoint)
+    return spark.read.parquet(target).select("c_custkey", "c_name", "first_run")

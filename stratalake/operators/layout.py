@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.sources.swap import finish_replacement, replace_partitions
+
 DEFAULT_FILE_BYTES = 256 * 1024 * 1024
 
 
@@ -23,11 +26,7 @@ def compact(
     is shuffled. A partitioned table is rebalanced by its partition columns
     instead, where AQE joins small pieces and splits a large one.
     """
-    tuned = spark.newSession()  # same context, own settings: the caller's session is left alone
-    tuned.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-    tuned.conf.set("spark.sql.files.minPartitionNum", "1")
-    tuned.conf.set("spark.sql.files.openCostInBytes", "0")
-    tuned.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    tuned = _packing_session(spark, target_bytes)
     df = tuned.read.parquet(source)
     if partition_by:
         df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(target)
@@ -35,6 +34,51 @@ def compact(
         df.write.mode("overwrite").parquet(target)
 
 
+def _packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
+    tuned = spark.newSession()  # same context, own settings: the caller's session is left alone
+    tuned.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    tuned.conf.set("spark.sql.files.minPartitionNum", "1")
+    tuned.conf.set("spark.sql.files.openCostInBytes", "0")
+    tuned.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    # Partition values stay the text of their folder, so that 01 is not written back as 1.
+    tuned.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    return tuned
+
+
+def folder_files(spark: SparkSession, path: str, depth: int, target_bytes: int = DEFAULT_FILE_BYTES) -> DataFrame:
+    """(folder, files, bytes, small) per partition folder of a stored table, `depth` levels deep ("" without partitions).
+
+    `small` counts files below half of `target_bytes`. Names and lengths come from the file listing; no file is opened.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    parts = F.split("path", "/")
+    files = listing.load(path).select(F.array_join(F.slice(parts, -1 - depth, depth), "/").alias("folder"), "length")
+    return files.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("length").alias("bytes"),
+        F.count_if(F.col("length") < target_bytes / 2).alias("small"),
+    )
+
+
+def compact_in_place(
+    spark: SparkSession, path: str, partition_by: Sequence[str] = (), target_bytes: int = DEFAULT_FILE_BYTES
+) -> list[str]:
+    """Compact those partitions of a stored table that have at least two small files; the folders rewritten.
+
+    The other partitions are neither read nor moved. Folders are replaced in steps that the next writer finishes if this
+    run is killed; readers should start afterwards. The names of touched folders pass through the driver.
+    """
+    finish_replacement(spark, path)
+    crowded = folder_files(spark, path, len(partition_by), target_bytes).filter("small >= 2").select("folder")
+    folders = sorted(r["folder"] for r in crowded.collect())
+    if folders:
+        tuned = _packing_session(spark, target_bytes)
+        root = path.rstrip("/")
+        rows = tuned.read.option("basePath", root).parquet(*[f"{root}/{f}".rstrip("/") for f in folders])
+        replace_partitions(rows, root, partition_by, folders)
+    return folders
+
+
 def _cut_points(df: DataFrame, columns: Sequence[str], pieces: int, sample_rows: int) -> dict[str, list]:
     """Quantiles per column from a uniform sample of bounded size, for any orderable type."""
     sample = (
@@ -69,16 +113,20 @@ def z_value(numbers: Sequence[Column], bits: int) -> Column:
 
 
 def zorder(
-    df: DataFrame, columns: Sequence[str], files: int, bits: int = 4, sample_rows: int = 4000
+    df: DataFrame, columns: Sequence[str], files: int, bits: int | None = None, sample_rows: int | None = None
 ) -> DataFrame:
     """Cluster rows so that files have a narrow range in each of `columns`.
 
-    Columns are replaced by their quantile number for the purpose. The row id as
+    Columns are replaced by their quantile number for the purpose. There are 2**bits quantiles a column, by default four
+    times as many as the files need if each column has its share of them (16 at least, 1024 at most), estimated from
+    64 sampled rows for each. The row id as
     the last range key lets equal rows, however many, be spread over several
     files. Give it a stored table: the order of a file scan makes row ids
     repeatable. Write the result as it is, one file per partition.
     """
-    cuts = _cut_points(df, columns, 2**bits, sample_rows)
+    if bits is None:
+        bits = min(max(4, math.ceil(math.log2(max(files, 1)) / len(columns)) + 2), 10, 62 // len(columns))
+    cuts = _cut_points(df, columns, 2**bits, sample_rows or max(4000, 64 * 2**bits))
     numbers = {f"_q{i}": _marks_up_to(F.col(c), cuts[c]) for i, c in enumerate(columns)}
     # In a projection of their own, the numbers are computed once and not once per bit.
     placed = df.withColumns(numbers).withColumns(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.columns import percent_change
-from stratalake.operators.ordering import MAX_ROWS_PER_KEY, carry_in, has_hot_key, range_chunks, with_neighbour
+from stratalake.operators.ordering import MAX_ROWS_PER_KEY, carry_in, has_hot_key, range_chunks, split_hot, with_neighbour
 
 
 def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
@@ -43,14 +43,16 @@ def with_ranks(
     """rank (and dense rank) of any column that can be ordered, highest first and NULL last, within each group.
 
     Where a group is too large for one task, ranks are found for its distinct
-    values, in chunks, and joined back.
+    values, in chunks, and joined back; the other groups go by one window.
     """
     names = [rank, *([dense_rank] if dense_rank else [])]
-    if not has_hot_key(df, group, max_rows_per_group):
-        w = Window.partitionBy(*group).orderBy(F.col(by).desc())
-        return df.withColumns(dict(zip(names, [F.rank().over(w), F.dense_rank().over(w)])))
+    plain, hot = split_hot(df, group, max_rows_per_group)
+    w = Window.partitionBy(*group).orderBy(F.col(by).desc())
+    plain = plain.withColumns(dict(zip(names, [F.rank().over(w), F.dense_rank().over(w)])))
+    if hot is None:
+        return plain
 
-    values = df.groupBy(*group, by).agg(F.count(F.lit(1)).alias("_n"))
+    values = hot.groupBy(*group, by).agg(F.count(F.lit(1)).alias("_n"))
     down = F.col(by).desc_nulls_last()
     chunks = range_chunks(values, group, [down])
     totals = chunks.groupBy("_chunk", *group).agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("values"))
@@ -77,23 +79,43 @@ def with_ranks(
             )
         )
     )
-    return _join_back(df, ranked, [*group, by], names)
+    return plain.unionByName(_join_back(hot, ranked, [*group, by], names))
 
 
 def with_running_total(
-    df: DataFrame, group: Sequence[str], order: str, value: str, name: str, dtype: str = "decimal(18,2)"
+    df: DataFrame,
+    group: Sequence[str],
+    order: str,
+    value: str,
+    name: str,
+    dtype: str = "decimal(18,2)",
+    max_steps_per_group: int | None = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
     """Sum of `value` up to and including the row's `order` value.
 
     Rows that share an `order` value get the same total, so the result does not
     depend on how such ties happen to be sorted. Values are summed per group and
-    `order` first; the window then runs over that small table, however many rows
-    a group has.
+    `order` first; the window then runs over that table. Where a group has more than `max_steps_per_group` values of
+    `order`, the steps are cut into ordered chunks: totals run within a chunk, and each chunk inherits the sum of those
+    before it. None skips the check, for an `order` that is known to have few values.
     """
     steps = df.groupBy(*group, order).agg(F.sum(value).alias("_step"))
-    w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    totals = steps.withColumn(name, F.sum("_step").over(w).cast(dtype))
-    return _join_back(df, totals, [*group, order], [name])
+    if has_hot_key(steps, group, max_steps_per_group):
+        totals = _running_over_chunks(steps, group, order)
+    else:
+        w = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        totals = steps.withColumn("_total", F.sum("_step").over(w))
+    return _join_back(df, totals.withColumn(name, F.col("_total").cast(dtype)), [*group, order], [name])
+
+
+def _running_over_chunks(steps: DataFrame, group: Sequence[str], order: str) -> DataFrame:
+    chunks = range_chunks(steps, group, [order])
+    sums = chunks.groupBy("_chunk", *group).agg(F.sum("_step").alias("sum"))
+    carried = carry_in(sums, group, {"sum": F.sum})
+    w = Window.partitionBy("_chunk", *group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.when(F.struct(*group).eqNullSafe(F.col("_carry_key")), F.col("_carry_sum"))
+    inside = chunks.withColumn("_inside", F.sum("_step").over(w)).join(F.broadcast(carried), "_chunk", "left")
+    return inside.withColumn("_total", F.when(F.col("_inside").isNull(), before).otherwise(F.col("_inside") + F.coalesce(before, F.lit(0))))
 
 
 def with_previous(

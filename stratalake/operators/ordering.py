@@ -8,11 +8,12 @@ so that a key spans as many tasks as it needs, and only the chunk ends are stitc
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.sources.storage import cut_lineage
+from stratalake.sources.storage import cut_lineage, stored
 
 # Rows of one key that a single task may sort (it spills beyond memory).
 MAX_ROWS_PER_KEY = 20_000_000
@@ -26,6 +27,22 @@ def has_hot_key(df: DataFrame, keys: Sequence[str], max_rows: int | None = MAX_R
     return not sizes.filter(F.col("_n") > max_rows).isEmpty()
 
 
+def split_hot(df: DataFrame, keys: Sequence[str], max_rows: int | None = MAX_ROWS_PER_KEY) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of keys with at most `max_rows` rows, rows of the other keys or None if there are none).
+
+    NULL is a key like any other. A table of n rows has at most n / max_rows hot keys; they are written once and
+    Spark chooses how to join them.
+    """
+    if max_rows is None:
+        return df, None
+    sizes = df.groupBy(*[F.col(k).alias(f"_h_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    hot = stored(sizes.filter(F.col("_n") > max_rows).drop("_n"), "hot-keys")
+    if hot.isEmpty():
+        return df, None
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
+
+
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -87,12 +104,17 @@ def with_neighbour(
     step: int,
     max_rows_per_key: int | None = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
-    """Add `value` of the next (step 1) or previous (step -1) row of the same key in `order`."""
+    """Add `value` of the next (step 1) or previous (step -1) row of the same key in `order`.
+
+    Only rows of keys with more than `max_rows_per_key` rows are cut into chunks; all others go by one window.
+    """
     shift = F.lead if step > 0 else F.lag
-    if not has_hot_key(df, keys, max_rows_per_key):
-        return df.withColumn(name, shift(value).over(Window.partitionBy(*keys).orderBy(*order)))
+    plain, hot = split_hot(df, keys, max_rows_per_key)
+    plain = plain.withColumn(name, shift(value).over(Window.partitionBy(*keys).orderBy(*order)))
+    if hot is None:
+        return plain
 
-    chunks = range_chunks(df, keys, order)
+    chunks = range_chunks(hot, keys, order)
     key = F.struct(*keys)
     inner = Window.partitionBy("_chunk", *keys).orderBy(*order, "_row")
     # The row at the near end of each chunk: as many rows as there are partitions.
@@ -103,13 +125,14 @@ def with_neighbour(
         shift("edge.key").over(Window.orderBy("_chunk")).alias("_k"),
         shift("edge.value").over(Window.orderBy("_chunk")).alias("_v"),
     )
-    return (
+    stitched = (
         chunks.withColumn("_inner", shift(value).over(inner))
         .withColumn("_end", shift(F.lit(True)).over(inner).isNull())
         .join(F.broadcast(beside), "_chunk", "left")
         .withColumn(name, F.when(~F.col("_end"), F.col("_inner")).when(F.col("_k").eqNullSafe(key), F.col("_v")))
         .drop("_row", "_chunk", "_inner", "_end", "_k", "_v")
     )
+    return plain.unionByName(stitched)
 
 
 def balanced_buckets(

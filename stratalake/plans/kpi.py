@@ -119,7 +119,7 @@ def analytic(kpi: DataFrame) -> DataFrame:
     ranked = with_ranks(
         kpi, ["region", "anio", "mes"], "venta_neta", "rank_categoria_region_mes", "dense_rank_categoria"
     )
-    summed = with_running_total(ranked, ["region", "anio"], "mes", "venta_neta", "venta_neta_ytd")
+    summed = with_running_total(ranked, ["region", "anio"], "mes", "venta_neta", "venta_neta_ytd", max_steps_per_group=None)
     lagged = with_previous(summed, series, "mes", "venta_neta", "venta_neta_mes_anterior", None)
     return with_percent_change(lagged, "venta_neta", "venta_neta_mes_anterior", "variacion_mes_pct")
 

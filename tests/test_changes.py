@@ -168,6 +168,34 @@ def test_ranks_and_previous_of_a_hot_group(skewed):
     assert same(with_previous(one_each, ["k"], "ts", "ts", "p", max_rows_per_group=1_000), before)
 
 
+def test_only_hot_keys_are_cut_into_chunks(skewed, monkeypatch):
+    from stratalake.operators import metrics, ordering
+
+    hottest = skewed.groupBy("k").count().orderBy(F.desc("count")).first()
+    seen, plain = [], ordering.range_chunks
+
+    def chunks(df, keys, *args):
+        seen.append({r["k"] for r in df.select("k").distinct().collect()})
+        return plain(df, keys, *args)
+
+    for module in (metrics, ordering):
+        monkeypatch.setattr(module, "range_chunks", chunks)
+    with_ranks(skewed, ["k"], "v", "r", "d", max_rows_per_group=hottest["count"] - 1)
+    with_previous(skewed, ["k"], ["ts", "id"], "v", "before", hottest["count"] - 1)
+    assert seen == [{hottest["k"]}, {hottest["k"]}]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(10,2)", "double"])
+def test_running_total_of_a_long_group(spark, rows, kind):
+    k = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 5)
+    value = F.when(F.col("id") % 7 > 0, F.col("id") % 100)
+    df = spark.range(4_000).select("id", k.alias("k"), (F.col("id") % 1_500).alias("at"), value.cast(kind).alias("x"))
+    first = df.filter("id >= 5").unionByName(df.filter("id < 5").withColumn("x", F.lit(None).cast(kind)))
+    plain = with_running_total(first, ["k"], "at", "x", "total", "decimal(20,2)", max_steps_per_group=None)
+    cut = with_running_total(first, ["k"], "at", "x", "total", "decimal(20,2)", max_steps_per_group=10)
+    assert rows(cut, "id", "total") == rows(plain, "id", "total")
+
+
 def test_running_total_over_ties(frame, rows):
     df = frame([("a", 1, 10), ("a", 1, 5), ("a", 2, 1), ("b", 1, 2), (None, 1, 4)], "g STRING, m INT, x INT")
     got = with_running_total(df, ["g"], "m", "x", "ytd", "bigint")

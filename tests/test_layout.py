@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stratalake.catalogue import table
 from stratalake.operators.joins import join_sort_merge
-from stratalake.operators.layout import compact, files_touched, table_detail, zorder
+from stratalake.operators.layout import compact, compact_in_place, files_touched, folder_files, table_detail, zorder
 from stratalake.operators.merge import Insert, Update, merge
 from stratalake.operators.metrics import top_n_per_group
 from stratalake.operators.quality import dedup_latest
@@ -38,6 +38,60 @@ def test_partitioned_compaction(spark, lines, tmp_path):
     assert table_detail(spark.read.parquet(packed)).first()["num_files"] == 3
 
 
+def test_compaction_in_place_takes_crowded_partitions_only(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    df = spark.range(600).select("id", F.when(F.col("id") % 3 == 0, "01").when(F.col("id") % 3 == 1, "a b:c").alias("p"))
+    df.repartition(5).write.partitionBy("p").parquet(path)
+    spark.range(600, 700).select("id", F.lit("one").alias("p")).coalesce(1).write.mode("append").partitionBy("p").parquet(path)
+    before = rows(spark.read.parquet(path), "id", "p")
+    single = [r["path"] for r in spark.read.format("binaryFile").load(f"{path}/p=one").select("path").collect()]
+    rewritten = compact_in_place(spark, path, ["p"])
+    assert len(rewritten) == 3 and "p=01" in rewritten and "p=one" not in rewritten
+    assert rows(spark.read.parquet(path), "id", "p") == before and ("01" in {r[1] for r in before})
+    assert {r["files"] for r in folder_files(spark, path, 1).collect()} == {1}
+    assert [r["path"] for r in spark.read.format("binaryFile").load(f"{path}/p=one").select("path").collect()] == single
+    assert compact_in_place(spark, path, ["p"]) == []
+
+
+def test_compaction_in_place_without_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).repartition(7).write.parquet(path)
+    assert compact_in_place(spark, path) == [""]
+    assert folder_files(spark, path, 0).first()["files"] == 1 and spark.read.parquet(path).count() == 100
+
+
+def test_killed_compaction_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    from stratalake.sources import swap
+
+    path = str(tmp_path / "t")
+    spark.range(90).select("id", (F.col("id") % 3).alias("p")).repartition(4).write.partitionBy("p").parquet(path)
+    plain, calls = swap.swap_folder, []
+
+    def killed(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        plain(*args)
+
+    monkeypatch.setattr(swap, "swap_folder", killed)
+    with pytest.raises(KeyboardInterrupt):
+        compact_in_place(spark, path, ["p"])
+    monkeypatch.undo()
+    assert compact_in_place(spark, path, ["p"]) == []  # finished first, and then nothing is crowded
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(90))
+    assert [r["files"] for r in folder_files(spark, path, 1).collect()] == [1, 1, 1]
+
+
+def test_more_files_get_finer_marks(spark, monkeypatch):
+    from stratalake.operators import layout
+
+    asked = []
+    monkeypatch.setattr(layout, "_cut_points", lambda df, columns, pieces, n: asked.append((pieces, n)) or {c: [] for c in columns})
+    for files in (8, 4_096, 10**9):
+        zorder(spark.range(10).select("id", F.col("id").alias("n")), ["id", "n"], files)
+    assert asked == [(16, 4_000), (256, 16_384), (1_024, 65_536)]
+
+
 def test_clustering_narrows_both_columns(spark, lines, tmp_path):
     plain, clustered = str(tmp_path / "plain"), str(tmp_path / "z")
     lines.repartition(16).write.parquet(plain)
