@@ -15,9 +15,27 @@ PART_TURNS = 256
 SYSTEM = "system"
 
 
+def escaped(text: Column) -> Column:
+    """Text that holds no `<|`: in `<`, any backslashes, `|` one backslash more is put before the `|`."""
+    return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
+
+
+def escaped_name(name: Column) -> Column:
+    """A name that holds neither `<|` nor `|>`; in `|`, any backslashes, `>` one backslash more follows the `|`."""
+    return F.regexp_replace(escaped(name), r"\|(\\*)>", r"|\\$1>")
+
+
+def unescaped(text: Column) -> Column:
+    return F.regexp_replace(text, r"<\\(\\*)\|", "<$1|")
+
+
+def unescaped_name(name: Column) -> Column:
+    return unescaped(F.regexp_replace(name, r"\|\\(\\*)>", "|$1>"))
+
+
 def header(role: Column, name: Column) -> Column:
     """What stands before a turn's text. `name` is null for the assistant and for system turns."""
-    return F.concat(F.lit("<|"), role, F.coalesce(F.concat(F.lit(" name="), name), F.lit("")), F.lit("|>\n"))
+    return F.concat(F.lit("<|"), role, F.coalesce(F.concat(F.lit(" name="), escaped_name(name)), F.lit("")), F.lit("|>\n"))
 
 
 TURN_END = "\n<|end|>\n"
@@ -29,8 +47,9 @@ def perspectives(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", sp
     Participants are the distinct speakers but for `system`, whose turns stay system turns for all. A part holds the turns
     whose number div part_turns is the same. `rendered` is the part's text. `mask` lists the characters to train on as
     "start-end" (end exclusive, comma-separated), counted from the beginning of the first part: the text of the assistant's
-    turns and the end mark after it. Null texts are empty; null speakers are rendered as user `unknown` and take
-    part under that name; null turn numbers come first, in part -1. Turns that tie are ordered by speaker, then text;
+    turns and the end mark after it. Marks in texts and names are escaped, so that no text can open or close a turn; the
+    positions are those of the escaped text, and `unescaped` and `unescaped_name` give it back. Null texts are empty; null
+    speakers are rendered as user `unknown` and take part under that name; null turn numbers come first, in part -1. Turns that tie are ordered by speaker, then text;
     repeated rows are kept. Dialogues of system turns only have no perspective. Other columns are ignored.
     """
     who = F.coalesce(F.col(speaker).cast("string"), F.lit("unknown"))
@@ -49,7 +68,7 @@ def perspectives(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", sp
         mine, system = t["speaker"] == perspective, t["speaker"] == SYSTEM
         role = F.when(mine, "assistant").when(system, SYSTEM).otherwise("user")
         head = header(role, F.when(~mine & ~system, t["speaker"]))
-        return F.struct(mine.alias("mine"), head.alias("head"), F.concat(t["text"], F.lit(TURN_END)).alias("body"))
+        return F.struct(mine.alias("mine"), head.alias("head"), F.concat(escaped(t["text"]), F.lit(TURN_END)).alias("body"))
 
     each = each.withColumn("pieces", F.transform("turns", lambda t: rendered(t, F.col("perspective")))).drop("turns")
     each = each.withColumn("rendered", F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"])), ""))

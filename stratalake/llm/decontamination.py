@@ -20,7 +20,8 @@ MAX_BROADCAST_SHINGLES = 1_000_000
 
 
 def _words(text: Column) -> Column:
-    return F.split(F.lower(text), r"[^\p{L}\p{N}]+")
+    # Text that begins or ends with something else has an empty piece there.
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def _shingle_rows(df: DataFrame, words: str, k: int, keep: list[str]) -> DataFrame:
@@ -44,9 +45,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> Da
     Words are runs of letters and digits, lower-cased. A window of as many words as the item has, from word `start` on, is
     like it when the weighted Jaccard similarity of their 5-word shingles is percent/100 or more; a
     shingle's weight is how often it comes. One row per document and item: the most similar window, the first on a tie. Null
-    or empty texts and items match nothing. Repeated rows count as one. Other columns are ignored.
+    or empty texts and items match nothing. Rows that share a doc_id, null included, are one document with several texts.
+    Repeated rows count as one. Other columns are ignored.
     """
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.array_remove(_words(F.col("text").cast("string")), "").alias("iw"))
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), _words(F.col("text").cast("string")).alias("iw"))
     items = items.filter("size(iw) > 0").distinct().withColumns({"n": F.size("iw"), "k": F.least(F.size("iw"), F.lit(SHINGLE))})
     items = items.withColumn("ih", _shingle_array("iw", "k")).select("item_id", "n", "k", "ih")
     items = stored(items, "benchmark")
@@ -55,16 +57,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 75) -> Da
         return docs.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, start bigint, similarity double")
     small = index.limit(MAX_BROADCAST_SHINGLES + 1).count() <= MAX_BROADCAST_SHINGLES
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _words(F.col("text").cast("string")).alias("w"))
+    # Texts are found again by a hash of id and text: ids may be null for many rows.
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), _words(F.col("text")).alias("w"))
     hits = None
     for (k,) in items.select("k").distinct().orderBy("k").collect():  # five at most
         side = index.filter(F.col("k") == k).drop("k")
-        found = _shingle_rows(texts, "w", k, ["doc_id"]).join(F.broadcast(side) if small else side, "h")
-        found = found.select("doc_id", "item_id", "n", F.lit(k).alias("k"), F.greatest(F.col("p") - F.col("off"), F.lit(0)).alias("start"))
+        found = _shingle_rows(texts, "w", k, ["row"]).join(F.broadcast(side) if small else side, "h")
+        found = found.select("row", "item_id", "n", F.lit(k).alias("k"), F.greatest(F.col("p") - F.col("off"), F.lit(0)).alias("start"))
         hits = found if hits is None else hits.unionByName(found)
     places = stored(hits.distinct(), "benchmark-hits")
 
-    windows = texts.join(places, "doc_id").select(
+    windows = texts.join(places, "row").select(
         "doc_id", "item_id", "start", "k", F.slice("w", F.col("start") + 1, F.col("n")).alias("ww")
     )
     windows = windows.withColumn("wh", _shingle_array("ww", "k")).filter("size(wh) > 0").drop("ww", "k")
