@@ -193,3 +193,44 @@ def assert_unique(spark, sf_dir):
         row = rows.agg(F.lit(key).alias("key"), F.lit(unique).alias("is_unique"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@query("""
+SELECT c_mktsegment, count(*) AS row_count, (SELECT count(*) FROM customer WHERE NOT coalesce(c_acctbal > 0, false)) AS not_positive,
+       (SELECT count(*) FROM customer WHERE NOT coalesce(c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD'), false)) AS unknown_segment
+FROM customer GROUP BY c_mktsegment
+""")
+def expect_warn(spark, sf_dir):
+    """All rows reach the sink; the violations are counted on their way there."""
+    path = work_dir(spark, "expected")
+    kept, seen = quality.expect(table(spark, sf_dir, "customer"), EXPECTATIONS, "customer_expectations")
+    tables.write_parquet(kept, path)
+    counts = seen.get
+    rows = spark.read.parquet(path).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.withColumns(
+        {
+            "not_positive": F.lit(counts["positive_balance"]).cast("bigint"),
+            "unknown_segment": F.lit(counts["known_segment"]).cast("bigint"),
+        }
+    )
+
+
+@query("""
+SELECT 'positive_balance' AS expectation, count(*) > 0 AS stopped FROM customer WHERE NOT coalesce(c_acctbal > 0, false)
+UNION ALL SELECT 'name_not_null', count(*) > 0 FROM customer WHERE c_name IS NULL
+""")
+def expect_fail_stops(spark, sf_dir):
+    """Whether a write under each expectation is stopped by a row that breaks it."""
+    customer = table(spark, sf_dir, "customer")
+    out = None
+    for name in ("positive_balance", "name_not_null"):
+        try:
+            tables.write_parquet(quality.expect_or_fail(customer, {name: EXPECTATIONS[name]}), work_dir(spark, "expected"))
+            stopped = False
+        except PySparkException as error:
+            if f"expectation violated: {name}" not in str(error):
+                raise
+            stopped = True
+        row = customer.agg(F.lit(name).alias("expectation"), F.lit(stopped).alias("stopped"))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -473,6 +473,19 @@ def mask_sql_udf(spark, sf_dir):
     )
 
 
+@query("""
+SELECT c_custkey, c_mktsegment, c_mktsegment = 'BUILDING' AS for_analyst, true AS for_engineer FROM customer
+""")
+def row_filter_sql_udf(spark, sf_dir):
+    access.register_row_filter(spark, "sees_segment", "BUILDING")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        "c_mktsegment",
+        F.expr("sees_segment(c_mktsegment, 'analyst')").alias("for_analyst"),
+        F.expr("sees_segment(c_mktsegment, 'data-engineer')").alias("for_engineer"),
+    )
+
+
 @query("""
 SELECT 'analyst' AS role, n_name, count(*) AS accounts, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS balance
 FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'NATION_7' GROUP BY n_name
