@@ -7,6 +7,7 @@ then numbered within their length, and take the places of the plan by number.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator, Mapping
 
@@ -19,9 +20,12 @@ from stratalake.llm.bpe import Encoder
 from stratalake.llm.textbytes import slices, utf8
 from stratalake.sources.storage import stored
 
-#: Fillings tried for one bin, and bins filled in all, before the search settles for the best packing so far.
-FILLINGS = 12
+#: Fillings looked at, half of them in each order, before the search settles for the best packing so far.
 NODES = 20_000
+#: Fillings of longest pieces that the second order looks ahead for the one of least waste.
+AHEAD = 48
+#: A packing is finished by best fit when the tokens left have shrunk to this share since it was last done.
+SHRUNK = 0.98
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many of it in one sequence), longest first
 
@@ -58,102 +62,167 @@ def best_fit(counts: Mapping[int, int], capacity: int) -> list[tuple[Pattern, in
     return [(content, n) for patterns in room.values() for content, n in patterns.items() if content and n]
 
 
-def fillings(counts: Mapping[int, int], lengths: list[int], room: int) -> list[tuple[int, ...]]:
-    """Undominated ways to fill `room`, least waste and fewest pieces first.
+def reachable(counts: Mapping[int, int], lengths: list[int], room: int) -> list[int]:
+    """Bit s of entry i: pieces of lengths[i:], no more of a length than there are, can add up to s."""
+    sums, mask = [1], (1 << (room + 1)) - 1
+    for size in reversed(lengths):
+        bits, n, step = sums[-1], min(counts[size], room // size), 1
+        while n:
+            used = min(step, n)
+            bits |= bits << (used * size)
+            n -= used
+            step *= 2
+        sums.append(bits & mask)
+    return sums[::-1]
 
-    A filling is dominated where another puts a longer piece, or pieces in place of which its own would fit: one
-    piece of the whole room beats all, so fillings of few long pieces are looked for first.
+
+def fillings(counts: Mapping[int, int], room: int, most_waste: int, ahead: int = 0) -> Iterator[Pattern]:
+    """All ways to fill `room` but for at most `most_waste`.
+
+    Least waste first, then longest pieces first; or, with `ahead`, longest pieces first, and of each `ahead` of these
+    the least waste first. Only sums that the pieces left can reach are followed, so no step ends without a filling.
+    """
+    lengths = sorted((x for x, n in counts.items() if n and x <= room), reverse=True)
+    sums = reachable(counts, lengths, room)
+
+    def between(at: int, need: int, waste: int) -> Iterator[Pattern]:
+        """Fillings by pieces from `at` on that add up to `need`, or up to `waste` less."""
+        for i in range(at, len(lengths)):
+            size = lengths[i]
+            for n in range(min(counts[size], need // size), 0, -1):
+                left = need - n * size
+                low = max(0, left - waste)
+                if sums[i + 1] >> low & ((1 << (left - low + 1)) - 1):
+                    for rest in between(i + 1, left, waste):
+                        yield ((size, n), *rest)
+            low = max(0, need - waste)
+            if not sums[i + 1] >> low & ((1 << (need - low + 1)) - 1):
+                return
+        if need <= waste:
+            yield ()
+
+    if not ahead:
+        for waste in range(min(most_waste, room) + 1):
+            if sums[0] >> (room - waste) & 1:
+                yield from between(0, room - waste, 0)
+        return
+    longest = between(0, room, most_waste)
+    while some := list(itertools.islice(longest, ahead)):
+        yield from sorted(some, key=lambda f: -sum(size * n for size, n in f))
+
+
+def _upwards(bits: int, reach: int) -> int:
+    """The bits, and those up to `reach` above each."""
+    done = 0
+    while done < reach:
+        step = min(done + 1, reach - done)
+        bits |= bits << step
+        done += step
+    return bits
+
+
+def dominated(filling: Pattern, counts: Mapping[int, int], room: int) -> bool:
+    """Whether a piece left out could stand in for pieces of the filling: several of them, a shorter one, or none.
+
+    The filling with that piece leaves the replaced ones over, which fit wherever it would have gone, so it is as good.
+    """
+    waste = room - sum(size * n for size, n in filling)
+    some = several = 0  # sums of one piece or more, and of two or more
+    for size, n in filling:
+        for _ in range(n):
+            several |= (several | some) << size
+            some |= (some | 1) << size
+    replaced = _upwards(several, waste)
+    if waste:
+        replaced |= _upwards(sum(1 << (size + 1) for size, _ in filling) | 2, waste - 1)
+    taken = dict(filling)
+    out = sum(1 << size for size, n in counts.items() if n > taken.get(size, 0))
+    return bool(replaced & out)
+
+
+def least_sequences(counts: Mapping[int, int], capacity: int) -> int:
+    """A number of sequences below which no packing gets.
+
+    Of pieces of half a sequence or more no two share one (but for two halves); for each length up to half, those so long
+    that no such piece fits beside them are full, and what of the shorter ones does not fit beside the others is over.
     """
-    if counts.get(room, 0) > 0:
-        return [(room,)]
-    found: list[tuple[int, tuple[int, ...]]] = []
-    steps = 0
-
-    def extend(at: int, left: int, taken: tuple[int, ...]) -> None:
-        nonlocal steps
-        steps += 1
-        fits = False
-        if len(found) < 4 * FILLINGS and steps < 4_000:
-            for i in range(at, len(lengths)):
-                size = lengths[i]
-                if size <= left and counts[size] > taken.count(size):
-                    fits = True
-                    if len(taken) < 7:
-                        if left - size and counts.get(left - size, 0) > taken.count(left - size) + (left == 2 * size) and left - size <= size:
-                            found.append((0, (*taken, size, left - size)))
-                            return
-                        extend(i, left - size, (*taken, size))
-                    if left == size or len(found) >= 4 * FILLINGS or steps >= 4_000:
-                        break
-        if not fits or len(taken) >= 7:
-            found.append((left, taken))
-
-    extend(0, room, ())
-    best = sorted(dict.fromkeys(found), key=lambda f: (f[0], len(f[1])))
-    return [taken for _, taken in best[:FILLINGS]]
-
-
-def _greedy(counts: dict[int, int], lengths: list[int], room: int) -> tuple[int, ...]:
-    taken: list[int] = []
-    for size in lengths:
-        while size <= room and counts[size] > taken.count(size):
-            taken.append(size)
-            room -= size
-    return tuple(taken)
+    best = -(-sum(x * n for x, n in counts.items()) // capacity)
+    for short in sorted(x for x in counts if 2 * x <= capacity):
+        alone = sum(n for x, n in counts.items() if x > capacity - short)
+        large = [(x, n) for x, n in counts.items() if capacity - short >= x > capacity / 2]
+        small = sum(x * n for x, n in counts.items() if short <= x <= capacity / 2)
+        shared = sum(n for _, n in large)
+        over = small - sum((capacity - x) * n for x, n in large)
+        best = max(best, alone + shared + max(0, -(-over // capacity)))
+    return max(best, sum(n for x, n in counts.items() if 2 * x > capacity))
 
 
 def bin_completion(histogram: Mapping[int, int], capacity: int, nodes: int = NODES) -> list[tuple[Pattern, int]]:
     """Sequences for a histogram of lengths, as (content, how many): as few as the search finds.
 
-    Depth first: the longest piece left gets a filling, used as often as the counts allow, then the rest follows.
-    A branch whose waste rules out fewer sequences than the best packing so far is cut. The search starts from best fit,
-    ends at the lower bound, or after `nodes` fillings with the best packing known.
+    Depth first: the longest piece left gets an undominated filling, used as often as the counts allow or once, then the
+    rest follows. A filling whose waste rules out fewer sequences than the best packing so far has is not followed. Best
+    fit of all, and of what is left along the way, are packings to better. The search is made with fillings of least
+    waste first, then with those of longest pieces first. It ends at the lower bound, when nothing is left to try
+    (the packing is then the best there is), or after `nodes` fillings, dominated ones included, with the best known.
     """
     counts = {length: n for length, n in histogram.items() if n}
     if any(not 0 < length <= capacity for length in counts):
         raise ValueError("a piece is longer than a sequence")
     total = sum(length * n for length, n in counts.items())
-    least = -(-total // capacity)
+    least = least_sequences(counts, capacity)
     best = best_fit(counts, capacity)
     most = sum(n for _, n in best)
 
-    def choices(left: dict[int, int]) -> Iterator[tuple[tuple[int, ...], int, int]]:
-        lengths = sorted((x for x, n in left.items() if n), reverse=True)
-        top = lengths[0]
-        left = dict(left)
-        left[top] -= 1
-        options = fillings(left, [x for x in lengths if left[x] > 0], capacity - top)
-        greedy = _greedy(left, [x for x in lengths if left[x] > 0], capacity - top)
-        left[top] += 1
-        for rest in [*options, *([greedy] if greedy not in options else [])]:
-            content = (top, *rest)
-            times = min(left[x] // content.count(x) for x in set(content))
-            yield content, times, capacity - sum(content)
-
-    stack = [(counts, 0, 0, iter(choices(counts)) if counts else iter(()), [])]
-    seen = 0
-    while stack and seen < nodes and most > least:
-        left, used, waste, options, plan = stack[-1]
-        option = next(options, None)
-        if option is None:
-            stack.pop()
-            continue
-        seen += 1
-        content, times, lost = option
-        if waste + lost > (most - 1) * capacity - total:
-            continue  # even one such sequence rules out a better packing
-        # As often as the counts allow, as long as the waste leaves room for a better packing.
-        if lost:
-            times = min(times, ((most - 1) * capacity - total - waste) // lost)
-        rest = dict(left)
-        for x in content:
-            rest[x] -= times
-        rest = {x: n for x, n in rest.items() if n}
-        now = [*plan, (content, times)]
-        if not rest:
-            most, best = used + times, [(tuple((x, c.count(x)) for x in dict.fromkeys(c)), n) for c, n in now]
-            continue
-        stack.append((rest, used + times, waste + lost * times, iter(choices(rest)), now))
+    def choices(left: dict[int, int], waste: int, ahead: int) -> Iterator[tuple[Pattern, int, int] | None]:
+        top = max(left)
+        others = {**left, top: left[top] - 1}
+        room = capacity - top
+        for rest in fillings(others, room, (most - 1) * capacity - total - waste, ahead):
+            if dominated(rest, others, room):
+                yield None
+                continue
+            content = dict(rest)
+            content = ((top, content.pop(top, 0) + 1), *content.items())
+            times = min(left[x] // n for x, n in content)
+            lost = capacity - sum(x * n for x, n in content)
+            yield content, times, lost
+            if times > 1:
+                yield content, 1, lost
+
+    for ahead in (0, AHEAD) if counts else ():
+        stack = [(counts, 0, 0, choices(counts, 0, ahead), [], total * SHRUNK)]
+        seen = 0
+        while stack and seen < nodes // 2 and most > least:
+            left, used, waste, options, plan, finish = stack[-1]
+            option = next(options, ())
+            if option == ():
+                stack.pop()
+                continue
+            seen += 1
+            spare = (most - 1) * capacity - total - waste
+            if option is None or option[2] > spare:
+                continue
+            content, times, lost = option
+            # As often as the counts allow, as long as the waste leaves room for a better packing.
+            if lost:
+                times = min(times, spare // lost)
+            rest = dict(left)
+            for x, n in content:
+                rest[x] -= n * times
+                if not rest[x]:
+                    del rest[x]
+            now, used, waste = [*plan, (content, times)], used + times, waste + lost * times
+            tokens = total - (used * capacity - waste)
+            if tokens <= finish:
+                finish = tokens * SHRUNK
+                finished = best_fit(rest, capacity)
+                if used + sum(n for _, n in finished) < most:
+                    most, best = used + sum(n for _, n in finished), [*now, *finished]
+            if rest:
+                stack.append((rest, used, waste, choices(rest, waste, ahead), now, finish))
+        if not stack:
+            break  # all was tried
     return best
 
 
