@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.textbytes import U64, distinct_by_document, mix, sums_by
+from stratalake.sources.storage import stored
 
 #: A language contains an n-gram that at least this share of its documents has, and no less than a part of the
 #: share in the language that has it most. At most 1 / MIN_SHARE times a document's mean number of n-grams get in,
@@ -145,9 +146,11 @@ def learn(docs: DataFrame) -> Filter:
     """Fit the filter on all rows of (text, lang) whose lang is not null."""
     texts = docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).filter("lang IS NOT NULL")
     counts = texts.mapInArrow(_document_counts, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    # One pass: the documents of a language stand beside its n-grams, and the best share beside every share.
-    total = F.max(F.when(F.col("gram") == -1, F.col("n"))).over(Window.partitionBy("lang"))
-    shares = counts.withColumn("share", F.col("n") / total).filter(F.col("share") >= MIN_SHARE)
+    counts = stored(counts, "ngram-counts")
+    # A row per language, each of which has a slice of the filter that the driver and every task hold.
+    totals = counts.filter("gram = -1").select("lang", F.col("n").alias("docs"))
+    shares = counts.join(F.broadcast(totals), "lang").withColumn("share", F.col("n") / F.col("docs"))
+    shares = shares.filter(F.col("share") >= MIN_SHARE)
     shares = shares.withColumn("top", F.max("share").over(Window.partitionBy("gram")))
     kept = shares.filter((F.col("gram") == -1) | (F.col("share") * MAX_RATIO >= F.col("top"))).select("lang", "gram", "n").toPandas()
     languages = sorted(kept["lang"].unique())
@@ -194,8 +197,8 @@ def predict(docs: DataFrame, model: Filter, keep: list[str]) -> DataFrame:
 
 
 def held_out(doc_id: str = "doc_id", of: int = 4, remainder: int = 2) -> Column:
-    """Rows that learning leaves out: crc32 of the id as text has this remainder."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % of == remainder
+    """Rows that learning leaves out: crc32 of the id as text has this remainder. A row without an id is learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % of == remainder, F.lit(False))
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -26,8 +26,6 @@ from stratalake.llm.textbytes import U64, mix, slices, sums_by, utf8, word_hashe
 from stratalake.sources.storage import stored
 
 ORDER = 4
-#: Share of all training symbols that a gram needs to be kept: none is left out.
-MIN_SHARE = 0.0
 #: Symbols at the end of a context that say which part of the model has it.
 SUFFIX = 2
 #: Symbols are bytes, the end of a text, and, only in contexts, what is before its beginning.

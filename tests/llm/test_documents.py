@@ -19,11 +19,11 @@ from stratalake.llm.bpe import Encoder
 from stratalake.llm.chat import perspectives
 from stratalake.llm.decontamination import contaminated
 from stratalake.llm.jaccard import jaccard_components, layout, published
-from stratalake.llm.langid import Filter, accepted, identify, ngrams
-from stratalake.llm.packing import best_fit, bin_completion, pack_documents
+from stratalake.llm.langid import MAX_RATIO, MIN_SHARE, Filter, accepted, identify, ngrams
+from stratalake.llm.packing import best_fit, bin_completion, dominated, fillings, least_sequences, pack_documents
 from stratalake.llm.parsing import repeat_digest, without_repeats
 from stratalake.llm.quality import POLICIES, RULES, Policy, ablation, ledger, quality_report, verdict
-from stratalake.llm.scoring import MIN_SHARE, score_texts
+from stratalake.llm.scoring import score_texts
 from stratalake.llm.tokenbin import EliasFano, tokens_round_trip
 from stratalake.llm.workers import share_package
 
@@ -153,6 +153,30 @@ def test_language(spark, docs, none):
     assert identify(df.limit(0)).collect() == []
 
 
+def test_language_against_sets_of_ngrams(spark):
+    """Brute force: exact n-gram sets of the languages; scores differ by what is left of false positives only."""
+    r = np.random.default_rng(8)
+    syllables = ["ka", "lo", "mi", "tur", "esh", "ond", "vra", "pli", "quo", "zin"]
+    rows = []
+    for i in range(400):
+        lang = ["aa", "bb", "cc"][i % 3]
+        part = syllables[i % 3 * 2 : i % 3 * 2 + 6]
+        rows.append((i if i != 7 else None, " ".join("".join(r.choice(part, 3)) for _ in range(20)), lang))
+    trigrams = lambda t: {(" " + t + " ").lower()[k : k + 3] for k in range(len(t)) if t[k] != " "}
+    learned = [(t, lang) for i, t, lang in rows if i is None or zlib.crc32(str(i).encode()) % 4 != 2]
+    docs_of, shares = collections.Counter(lang for _, lang in learned), collections.defaultdict(dict)
+    for (g, lang), n in collections.Counter((g, lang) for t, lang in learned for g in trigrams(t)).items():
+        if n / docs_of[lang] >= MIN_SHARE:
+            shares[g][lang] = n / docs_of[lang]
+    held = {g: {x for x, n in by.items() if n * MAX_RATIO >= max(by.values())} for g, by in shares.items()}
+    got = by_id(identify(spark.createDataFrame(rows, "doc_id int, text string, lang string")))
+    assert got[None]["held_out"] is False and len(got) == 400
+    for i, t, _ in rows:
+        part = {x: sum(x in held.get(g, ()) for g in trigrams(t)) / len(trigrams(t)) for x in docs_of}
+        assert abs(got[i]["score"] - max(part.values())) < 0.05
+        assert part[got[i]["lang_pred"]] > max(part.values()) - 0.05
+
+
 def test_filter_of_more_than_64_languages():
     grams, offsets = ngrams(["abcdef", "uvwxyz"])
     owner = np.repeat([1, 70], np.diff(offsets))
@@ -245,6 +269,40 @@ def test_bin_completion_finds_the_least_number():
                     used[x] += n * times
             assert used == histogram
         assert sum(n for _, n in bin_completion(histogram, 10)) == least
+        assert least_sequences(histogram, 10) <= least
+
+
+def test_fillings_are_all_there_and_dominance_is_by_replacement():
+    r = np.random.default_rng(2)
+    for _ in range(60):
+        counts = collections.Counter(r.integers(1, 12, 9).tolist())
+        room, waste = int(r.integers(1, 21)), int(r.integers(0, 21))
+        pieces = sorted(counts.elements(), reverse=True)
+        subsets = {tuple(sorted(c, reverse=True)) for k in range(10) for c in itertools.combinations(pieces, k)}
+        want = {c for c in subsets if max(0, room - waste) <= sum(c) <= room}
+        for ahead in (0, 3, 48):
+            got = [tuple(x for x, n in f for _ in range(n)) for f in fillings(counts, room, waste, ahead)]
+            assert len(got) == len(set(got)) and set(got) == want
+            if ahead != 3:
+                assert ahead or [sum(c) for c in got] == sorted((sum(c) for c in got), reverse=True)
+        for c in want:
+            out = counts - collections.Counter(c)
+            groups = {g for k in range(len(c) + 1) for g in itertools.combinations(c, k)}
+            free = room - sum(c)
+            better = any(sum(g) <= x <= sum(g) + free and g != (x,) for g in groups for x in out)
+            assert dominated(tuple(collections.Counter(c).items()), counts, room) == better
+
+
+def test_short_pieces_fill_sequences():
+    r = np.random.default_rng(4)
+    for low, high in ((20, 101), (30, 400)):
+        lengths = collections.Counter(r.integers(low, high, 5000).tolist())
+        plan = bin_completion(lengths, 1024)
+        assert sum(n for _, n in plan) == least_sequences(lengths, 1024)
+        assert high > 101 or max(sum(n for _, n in content) for content, _ in plan) > 9
+    for low, high in ((1, 1025), (300, 521)):
+        lengths = collections.Counter(r.integers(low, high, 2000).tolist())
+        assert sum(n for _, n in bin_completion(lengths, 1024)) <= sum(n for _, n in best_fit(lengths, 1024))
 
 
 def test_section_tokens(docs, texts, none):
@@ -261,6 +319,31 @@ def test_section_tokens(docs, texts, none):
     assert section_tokens(none, VOCABULARY).collect() == []
 
 
+def test_sections_against_single_tokens(spark):
+    """Brute force for the rule of the query: each token goes, whole, to the line that has most of its bytes."""
+    library = Tokenizer.from_file(VOCABULARY)
+    rows = [(1, "a\n\n\nb  \n\tc"), (2, "\n" * 9), (3, "é\n\nü \n \n日本\n"), (None, "x\r\n\r\n  y\n"), (4, "one line"), (5, ""), (6, None)]
+    rows += [(7, "\n\n".join(f"word{i} {i}\t" for i in range(300)))]
+    got = collections.defaultdict(list)
+    for r in section_tokens(spark.createDataFrame(rows, "doc_id int, text string"), VOCABULARY).collect():
+        got[r["doc_id"]].append(r)
+    crossed = 0
+    for i, t in rows:
+        lines = re.findall(r"[^\n]*\n|[^\n]+", t or "")
+        owner = [k for k, line in enumerate(lines) for _ in line.encode()]
+        count, crossing, at = [0] * len(lines), [0] * len(lines), 0
+        for token in library.encode(t or "", add_special_tokens=False).ids:
+            here = owner[at : at + len(library.id_to_token(token))]
+            at += len(here)
+            count[min(set(here), key=lambda k: (-here.count(k), k))] += 1
+            for k in set(here) if len(set(here)) > 1 else ():
+                crossing[k] += 1
+        crossed += sum(crossing)
+        found = sorted(got[i], key=lambda r: r["section"])
+        assert [(r["n_tokens"], r["n_crossing"]) for r in found] == list(zip(count, crossing)) and at == len(owner)
+    assert crossed > 4
+
+
 @pytest.mark.parametrize("rule, want", [("start", [2, 0, 1]), ("end", [1, 0, 2]), ("most", [1, 1, 1]), ("split", [1.25, 0.5, 1.25])])
 def test_rules_for_tokens_across_sections(rule, want):
     count, crossing = attribute(np.array([0, 3, 7]), np.array([3, 7, 9]), np.array([0, 4, 6]), rule)
@@ -316,12 +399,10 @@ def test_scoring(docs, texts, none):
         for k in range(order, len(s)) if not out[i] else ():
             for o in range(order + 1):
                 counts[o][tuple(s[k - o : k + 1])] += 1
-    least = MIN_SHARE * sum(counts[0].values())
     after = [collections.defaultdict(dict) for _ in range(order + 1)]
     for o in range(order + 1):
         for g, n in counts[o].items():
-            if n >= least:
-                after[o][g[:-1]][g[-1]] = n
+            after[o][g[:-1]][g[-1]] = n
 
     def log10(context, symbol):
         excluded, p = set(), 0.0
