@@ -81,7 +81,10 @@ def fillings(counts: Mapping[int, int], room: int, most_waste: int, ahead: int =
 
     Least waste first, then longest pieces first; or, with `ahead`, longest pieces first, and of each `ahead` of these
     the least waste first. Only sums that the pieces left can reach are followed, so no step ends without a filling.
+    Below no waste there is none.
     """
+    if most_waste < 0:
+        return
     lengths = sorted((x for x, n in counts.items() if n and x <= room), reverse=True)
     sums = reachable(counts, lengths, room)
 

@@ -272,6 +272,13 @@ def test_bin_completion_finds_the_least_number():
         assert least_sequences(histogram, 10) <= least
 
 
+@pytest.mark.parametrize("ahead", [0, 3])
+def test_below_no_waste_there_is_no_filling(ahead):
+    # What a search asks for that found a better packing since.
+    for waste in (-1, -2, -1000):
+        assert list(fillings({5: 2, 3: 1}, 8, waste, ahead)) == []
+
+
 def test_fillings_are_all_there_and_dominance_is_by_replacement():
     r = np.random.default_rng(2)
     for _ in range(60):
