@@ -213,10 +213,12 @@ def _kpi_silver(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_retailprice")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    # Narrow rows are shuffled first, orders before they are lines, and the names of places come last, without a shuffle.
+    placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
     joined = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .drop("l_partkey", "p_partkey")
+        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )

@@ -63,6 +63,22 @@ def test_measures_and_distinct_counts_read_once(spark, plan, rows, tmp_path):
     assert text[text.rfind("Initial Plan") :].count("FileScan") == 1 and "EqualTo(g,1)" in text
 
 
+def test_rows_are_shuffled_once_for_all_distinct_counts(spark, plan, rows):
+    made = "IF(id % 4 = 0, NULL, id % 3) AS g", "IF(id % 5 = 0, NULL, id % 7) AS a", "CAST(id % 2 AS STRING) AS b", "id AS v"
+    df = spark.range(60).union(spark.range(20)).selectExpr(*made)
+
+    def kpi(most, rows=df):
+        return aggregate_with_distinct(rows, ["g"], [F.sum("v").alias("s")], {"n": "a", "m": "b"}, most)
+
+    want = rows(df.groupBy("g").agg(F.sum("v"), F.countDistinct("a"), F.countDistinct("b")))
+    text = plan(kpi(None))
+    assert "Expand" not in text and text[text.rfind("Initial Plan") :].count("Exchange") == 1
+    assert rows(kpi(None)) == rows(kpi(100)) == rows(kpi(1)) == want
+    assert "Expand" in plan(kpi(1))  # a group that no task should hold
+    signed = df.withColumn("a", F.when(F.col("a") == 1, -0.0).when(F.col("a") == 2, 0.0).when(F.col("a") < 5, float("nan")))
+    assert rows(kpi(None, signed), "n") == [(2,)] * 4
+
+
 def test_a_cluster_without_a_shared_folder_is_refused():
     far = SimpleNamespace(
         conf=SimpleNamespace(get=lambda *_: None),
