@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from stratalake.sources.swap import finish_replacement, replace_partitions
 
 DEFAULT_FILE_BYTES = 256 * 1024 * 1024
+#: Rows that a task of the clustering sorts in memory.
+MAX_ROWS_PER_SORT = 1_000_000
 
 
 def compact(
@@ -113,7 +115,12 @@ def z_value(numbers: Sequence[Column], bits: int) -> Column:
 
 
 def zorder(
-    df: DataFrame, columns: Sequence[str], files: int, bits: int | None = None, sample_rows: int | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    files: int,
+    bits: int | None = None,
+    sample_rows: int | None = None,
+    max_rows_per_sort: int = MAX_ROWS_PER_SORT,
 ) -> DataFrame:
     """Cluster rows so that files have a narrow range in each of `columns`.
 
@@ -123,6 +130,9 @@ def zorder(
     the last range key lets equal rows, however many, be spread over several
     files. Give it a stored table: the order of a file scan makes row ids
     repeatable. Write the result as it is, one file per partition.
+
+    A task sorts about `max_rows_per_sort` rows. Larger files are put together from sorted runs, each of a range of its own
+    and in one piece, which costs a second shuffle; the runs of a file may come in any order.
     """
     if bits is None:
         bits = min(max(4, math.ceil(math.log2(max(files, 1)) / len(columns)) + 2), 10, 62 // len(columns))
@@ -132,12 +142,12 @@ def zorder(
     placed = df.withColumns(numbers).withColumns(
         {"_z": z_value([F.col(q) for q in numbers], bits), "_row": F.monotonically_increasing_id()}
     )
-    return (
-        placed.drop(*numbers)
-        .repartitionByRange(files, "_z", "_row")
-        .sortWithinPartitions("_z", *columns)
-        .drop("_z", "_row")
-    )
+    runs = -(-df.count() // (files * max_rows_per_sort)) or 1
+    ranged = placed.drop(*numbers).repartitionByRange(files * runs, "_z", "_row").sortWithinPartitions("_z", *columns)
+    if runs > 1:
+        ranged = ranged.withColumn("_file", F.floor(F.spark_partition_id() / runs).cast("int"))
+        ranged = ranged.repartitionById(files, "_file").drop("_file")
+    return ranged.drop("_z", "_row")
 
 
 def table_detail(df: DataFrame) -> DataFrame:

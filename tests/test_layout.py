@@ -102,6 +102,25 @@ def test_clustering_narrows_both_columns(spark, lines, tmp_path):
     assert spark.read.parquet(clustered).exceptAll(lines).isEmpty()
 
 
+def test_large_files_are_put_together_from_sorted_runs(spark, lines, tmp_path):
+    plain = str(tmp_path / "plain")
+    lines.repartition(16).write.parquet(plain)
+    source = spark.read.parquet(plain)
+    most = -(-source.count() // 64)
+    made = {}
+    for name, options in {"whole": {}, "runs": {"max_rows_per_sort": most}}.items():
+        clustered = zorder(source, ["l_partkey", "l_quantity"], files=16, **options)
+        if options:  # no task sorts more than a run
+            text = clustered._jdf.queryExecution().optimizedPlan().toString()
+            assert "ASC NULLS FIRST], 64" in text[text.rfind("RepartitionByExpression") :]
+        clustered.write.parquet(str(tmp_path / name))
+        made[name] = spark.read.parquet(str(tmp_path / name))
+        assert made[name].exceptAll(source).isEmpty() and source.exceptAll(made[name]).isEmpty()
+    for column, value in (("l_partkey", 777), ("l_quantity", 12.0)):
+        whole, runs = (files_touched(made[x], column, value).first() for x in ("whole", "runs"))
+        assert runs["files"] == whole["files"] == 16 and runs["touched"] <= 9
+
+
 def test_clustering_spreads_copies_and_takes_text(spark, tmp_path):
     same = spark.range(8_000).select(F.when(F.col("id") % 3 == 0, "x").otherwise(F.col("id").cast("string")).alias("s"), F.lit(1).alias("n"))
     path = str(tmp_path / "src")
