@@ -98,12 +98,15 @@ silver AS (SELECT sha256(concat_ws('|', orden_id, CAST(linea_id AS VARCHAR))) AS
 
 
 def _sales_bronze(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    lines = table(spark, sf_dir, "lineitem")
+    # Joined by the id that the lines go by from here on, so that they are not shuffled again to find their latest delivery.
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_id"), "o_custkey", "o_orderdate", "o_orderstatus"
+    )
+    lines = table(spark, sf_dir, "lineitem").withColumn("orden_id", F.col("l_orderkey").cast("string"))
     channel = F.when(F.col("l_returnflag") == "A", " Ecommerce ").when(F.col("l_returnflag") == "N", "MAYORISTA")
     state = F.when(F.col("o_orderstatus") == "F", "Completada").when(F.col("o_orderstatus") == "O", " pendiente")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_orderkey").cast("string").alias("orden_id"),
+    return lines.join(orders, F.col("orden_id") == F.col("o_id")).select(
+        "orden_id",
         F.col("l_linenumber").alias("linea_id"),
         F.when(F.col("l_tax") < 0.08, F.concat(F.lit(" "), F.col("l_partkey").cast("string"))).alias("producto_id"),
         F.col("o_custkey").cast("string").alias("cliente_id"),

@@ -49,13 +49,13 @@ def _same_key(keys: Sequence[str], null_safe: bool) -> Column:
 
 
 def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One arbitrary row per key and `_n`, the number of rows it stands for."""
-    rest = [c for c in source.columns if c not in keys]
-    counted = [F.count(F.lit(1)).alias("_n")]
-    if rest:
-        counted.append(F.first(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_rest"))
-    reduced = source.groupBy(*keys).agg(*counted)
-    return reduced.select(*keys, *(["_rest.*"] if rest else []), "_n")
+    """One arbitrary row per key and `_n`, the number of rows it stands for.
+
+    Each column by itself, so that only those in use are shuffled; all of them meet the rows in the same order, and `first`
+    takes that of the same row.
+    """
+    rest = [F.first(F.col(f"`{c}`")).alias(c) for c in source.columns if c not in keys]
+    return source.groupBy(*keys).agg(*rest, F.count(F.lit(1)).alias("_n"))
 
 
 def merge(

@@ -246,3 +246,13 @@ def test_merge_of_a_hot_key(skewed, frame):
 def test_dedup_keeps_one_row_per_key(skewed):
     got = dedup_latest(skewed, ["k"], "ts", ["id"])
     assert got.count() == skewed.select("k").distinct().count()
+
+
+def test_merge_shuffles_only_the_source_columns_in_use(spark, plan, rows, tmp_path):
+    spark.range(20).selectExpr("id AS k", "id % 3 AS a", "CAST(id AS STRING) AS wide").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    changes = table.filter("k < 5").withColumn("a", F.col("a") + 10)
+    merged = merge(table, changes, ["k"], [Update({"a": "s.a"})], [Insert()])
+    text = plan(merged.select("k", "a"))
+    assert "wide" not in text[text.rfind("Initial Plan") :]
+    assert rows(merged) == rows(table.selectExpr("k", "IF(k < 5, a + 10, a) AS a", "wide"))
