@@ -68,7 +68,13 @@ def read_buckets(spark: SparkSession, table: str, only: Sequence[int] | None = N
 
 def write_buckets(df: DataFrame, table: str, touched: Sequence[int]) -> None:
     """Replace the buckets `touched` by `df`, which has their number in `_bucket`."""
-    replace_partitions(df, table, [BUCKET], [f"{BUCKET}={b}" for b in touched])
+    replace_partitions(df, table, [BUCKET], [f"{BUCKET}={b}" for b in touched], tasks=_tasks(df, len(touched)))
+
+
+def _tasks(df: DataFrame, buckets: int) -> int | None:
+    """Tasks to write so many buckets with; None for few, of which a large one may take several tasks."""
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return most if buckets >= 4 * most else None
 
 
 def grow(
@@ -81,12 +87,14 @@ def grow(
     """
     begun, count = saved_bucket_counts(spark, table)
     now = Buckets(begun, count)
-    rows = read_buckets(spark, table, sample).count() if sample else 0
+    held = read_buckets(spark, table) if sample else None  # the folders are listed once
+    rows = held.filter(F.col(BUCKET).isin(list(sample))).count() if held else 0
     wanted = -(-rows * count // (max(1, len(sample)) * rows_per_bucket))
     if wanted <= count:
         return now
     after = Buckets(begun, wanted)
     split = sorted({after.origin(b, count) for b in range(count, wanted)})
-    moved = read_buckets(spark, table, split).withColumn(BUCKET, after.of(keys))
-    replace_partitions(moved, table, [BUCKET], [f"{BUCKET}={b}" for b in split], bucket_count=wanted)
+    moved = held.filter(F.col(BUCKET).isin(split)).withColumn(BUCKET, after.of(keys))
+    tasks = _tasks(moved, wanted - count)
+    replace_partitions(moved, table, [BUCKET], [f"{BUCKET}={b}" for b in split], bucket_count=wanted, tasks=tasks)
     return after

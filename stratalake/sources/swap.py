@@ -13,14 +13,13 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.sources.storage import path_exists, remove_folder, save_bucket_count, subfolders
+from stratalake.sources.storage import located, path_exists, remove_folder, save_bucket_count, subfolders
 
 
 def _move(spark: SparkSession, source: str, target: str) -> None:
-    store = spark._jvm.org.apache.hadoop.fs.Path
-    files = store(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(store(target).getParent())
-    if not files.rename(store(source), store(target)):
+    folder, files = located(spark, target)
+    files.mkdirs(folder.getParent())
+    if not files.rename(located(spark, source)[0], folder):
         raise OSError(f"cannot move {source} to {target}")
 
 
@@ -41,16 +40,24 @@ def _filled(spark: SparkSession, root: str, depth: int) -> list[str]:
 
 
 def replace_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], replaced: Iterable[str], bucket_count: int | None = None
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    replaced: Iterable[str],
+    bucket_count: int | None = None,
+    tasks: int | None = None,
 ) -> None:
     """Put `df` in the place of the folders `replaced` (relative to `path`); those it has no rows for go.
 
-    `bucket_count` is recorded with the table in the same step.
+    `bucket_count` is recorded with the table in the same step. Folders of even size can be dealt to a number of `tasks`;
+    otherwise rows are rebalanced by their bytes, which leaves very many small folders to few tasks.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     staged = f"{path}-staged"
     finish_replacement(spark, path)
-    placed = df.hint("rebalance", *partition_by) if partition_by else df
+    placed = df
+    if partition_by:
+        placed = df.repartition(tasks, *partition_by) if tasks else df.hint("rebalance", *partition_by)
     writer = placed.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{staged}/data")
     filled = set(_filled(spark, f"{staged}/data", len(partition_by)))

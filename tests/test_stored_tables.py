@@ -264,3 +264,21 @@ def test_overwrite_keeps_columns_and_types(spark):
     write_table(spark.sql("SELECT 'z' AS a"), name, replace_schema=True)
     assert spark.table(name).dtypes == [("a", "string")]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_many_buckets_are_written_by_many_tasks_and_listed_once_to_grow(spark, tmp_path, monkeypatch):
+    from stratalake.sources import buckets, swap
+
+    asked, listed = [], []
+    replace, read = swap.replace_partitions, buckets.read_buckets
+    monkeypatch.setattr(buckets, "replace_partitions", lambda *a, **k: asked.append(k.get("tasks")) or replace(*a, **k))
+    monkeypatch.setattr(buckets, "read_buckets", lambda *a: listed.append(a) or read(*a))
+    path = str(tmp_path / "t")
+    begun = buckets.open_buckets(spark, path, 2)
+    buckets.write_buckets(spark.range(400).withColumn(buckets.BUCKET, begun.of(["id"])), path, [0, 1])
+    grown = buckets.grow(spark, path, ["id"], [0, 1], 10)
+    assert grown.count == 40 and len(listed) == 1
+    assert asked == [None, 4]  # the two large folders may take several tasks; shuffles of the tests have four
+    held = read(spark, path)
+    assert sorted(r["id"] for r in held.collect()) == list(range(400))
+    assert held.filter(held[buckets.BUCKET] != grown.of(["id"])).isEmpty()
