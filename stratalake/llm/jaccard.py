@@ -9,11 +9,12 @@ the cost model allots a one-deletion neighbourhood also those of the subsets wit
 A record publishes its segments in their fixed order only until they absorb more differences than any
 partner allows. Whichever of two records stops first is covered by what both have published.
 
-A list is the records that publish the same hash. Its pairs are looked at where it was made, on parity sketches that
-bound the difference from below and lose no link; what they leave is verified exactly. A list of many near copies
-links its members to its least one first, and after that only pairs across components count. Lists too
-long for one task, and records whose segments are too empty to be covered, take an exact second way: prefixes of their
-rarest shingles.
+A list is the records that publish the same hash. Where it was made, parity sketches that bound the difference from below
+rule out pairs without losing a link, and a spanning forest of the pairs they leave is told: its trees are the families.
+Whatever two records a family holds, no pair of them is written down: its texts meet once, and all its members are compared
+there, exactly, as long as their components differ. A family too large for one task is dealt into blocks; across blocks only
+those outside its largest component meet the others. Lists too long to be looked at whole, if they hold several families,
+and records whose segments are too empty to be covered take an exact second way: prefixes of their rarest shingles.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.graph import connected_components
@@ -42,17 +43,18 @@ from stratalake.sources.storage import stored
 
 #: Segments beyond what the largest set of a band needs, as a share; they make up for empty segments.
 SLACK = 1.25
-#: A list with more possible pairs than this times its length shows only its star first; near copies then are one component.
-DENSE = 8
-#: A dense list with more pairs across components than this leaves them to the exact second way, as does a list
-#: of more members than this, whose pairs one task should not look at.
-MAX_LIST_PAIRS = 200
+#: Of a list of more members than this only runs of so many are looked at, and some pivots with all.
 MAX_LIST = 4_000
-#: Shingles of possible partners that one task verifies against as many others.
+PIVOTS = 32
+#: Words of sketches that are compared at a time, and possible pairs that a task gathers before it thins them out.
+COMPARED = 1_000_000
+HELD_PAIRS = 250_000
+#: Shingles, and sets, of a family that one task compares with each other or with as many others.
 BLOCK_SHINGLES = 1_000_000
+BLOCK_SETS = 4_000
 #: A set's parity sketch has one to two bits for each shingle, between 64 and this many words of 64; every shingle flips a
 #: bit. Two sketches, the longer one folded, differ in no more bits than the sets in shingles.
-SKETCH_WORDS = 64
+SKETCH_WORDS = 512
 #: Members of a list that are stored in one row.
 LIST_ROW = 1_000
 #: Published hashes are shuffled in packets, this many for each reducer from each map step.
@@ -352,22 +354,36 @@ def _forest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, n: int) -> np.ndarr
     return np.array(kept, np.int64)
 
 
-def _possible(percent: int, first_look: bool):
-    """Pairs of each list that sizes and sketches do not rule out and whose components differ.
+def _possible(na, nb, apart, percent: int):
+    """Whether sets of na and nb shingles that differ in `apart` or more can be similar."""
+    return (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & ((100 + percent) * apart <= (100 - percent) * (na + nb))
 
-    At a first look only a spanning forest of them, the closest first, so that a family of near copies gives no more pairs
-    than it has members. Later all, with the members of dense and of long lists besides.
-    """
 
-    def keeps(na, nb, apart):
-        return (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (
-            (100 + percent) * apart <= (100 - percent) * (na + nb)
-        )
+def _index_pairs(k: int, most: int):
+    """Index pairs of a list of k members, about `most` at a time: all, or those of runs and of pivots with all."""
+    run = min(k, MAX_LIST)
+    for low in range(0, k, run):
+        high = min(low + run, k)
+        step = max(1, most // run)
+        for i in range(low, high, step):
+            x, y = np.nonzero(np.arange(i, min(i + step, high))[:, None] < np.arange(low, high))
+            yield x + i, y + low
+    if run < k:
+        pivots = np.arange(PIVOTS) * k // PIVOTS
+        for i in range(0, k, step := max(1, most // PIVOTS)):
+            x, y = np.nonzero(np.arange(i, min(i + step, k))[:, None] != pivots)
+            yield x + i, pivots[y]
+
+
+def _closest(percent: int):
+    """A spanning forest, the closest first, of the pairs in a part's lists that sizes and sketches do not rule out.
+
+    So a family of near copies gives no more pairs than it has members.
+    """
 
     def run(key, lists: pa.Table, nodes: pa.Table) -> pa.Table:
         known, first = np.unique(nodes.column("node").to_numpy(), return_index=True)
         size = nodes.column("n").to_numpy()[first]
-        component = nodes.column("component").to_numpy()[first]
         column = nodes.column("sketch").combine_chunks()
         words = pc.list_value_length(column).to_numpy()
         flat, begins = column.flatten().to_numpy().view(U64), np.cumsum(words) - words
@@ -393,65 +409,43 @@ def _possible(percent: int, first_look: bool):
         at = np.concatenate([[0], np.cumsum(lengths)])
         bounds = np.append(at[begin], at[-1])
         sizes = np.diff(bounds)
-        out_a, out_b, far, told, kinds = [], [], [], [], []
+        empty = np.zeros(0, np.int64)
+        held_a, held_b, held_far, waiting = [empty], [empty], [np.zeros(0)], 0
 
-        def closest(*lists):
-            a, b, apart = (np.concatenate(x) for x in lists)
-            kept = _forest(a, b, apart, len(known))
-            return a[kept], b[kept], apart[kept]
+        def thin():
+            a, b, far = (np.concatenate(x) for x in (held_a, held_b, held_far))
+            kept = _forest(a, b, far, len(known))
+            held_a[:], held_b[:], held_far[:] = [a[kept]], [b[kept]], [far[kept]]
 
         shortest = np.minimum.reduceat(words[where], bounds[:-1]) if len(sizes) else sizes
         # Lists of the same length are looked at together.
         for k, w in {*zip(sizes.tolist(), shortest.tolist())}:
             which = np.flatnonzero((sizes == k) & (shortest == w))
-            if k > MAX_LIST and first_look:
-                continue
-            if k > MAX_LIST:
-                which = [c for c in which if (component[where[bounds[c] : bounds[c + 1]]] != component[where[bounds[c]]]).any()]
-                told += [where[bounds[c] : bounds[c + 1]] for c in which]
-                kinds += [np.full(k, -1)] * len(which)
-                continue
             sketch, row = folded[w]
-            i, j = np.triu_indices(k, 1)
-            chunk = 4_000_000 // w
-            step = max(1, chunk // len(i))
-            for c in range(0, len(which), step):
-                some = which[c : c + step]
-                rows = where[bounds[some][:, None] + np.arange(k)]
-                good = np.zeros((len(some), len(i)), bool)
-                for s in range(0, len(i), chunk):
-                    x, y = rows[:, i[s : s + chunk]], rows[:, j[s : s + chunk]]
-                    good[:, s : s + chunk] = (component[x] != component[y]) & keeps(
-                        size[x], size[y], _bits_apart(sketch[row[x]], sketch[row[y]])
-                    )
-                dense = (good.sum(axis=1) > DENSE * k) & (not first_look)
-                good[np.ix_(dense, i > 0)] = False
-                r, p = np.nonzero(good)
-                out_a.append(rows[r, i[p]])
-                out_b.append(rows[r, j[p]])
-                if first_look:
-                    x, y = out_a[-1], out_b[-1]
-                    far.append(_bits_apart(sketch[row[x]], sketch[row[y]]) / (size[x] + size[y]))
-                    if sum(map(len, far)) > 2_000_000:
-                        out_a, out_b, far = ([x] for x in closest(out_a, out_b, far))
-                    continue
-                told += list(rows[dense])
-                kinds += [np.full(k, ids[begin[c]]) for c in some[dense]]
-        empty = [np.zeros(0, np.int64)]
-        if first_look:
-            out_a, out_b, far = ([x] for x in closest(out_a or empty, out_b or empty, far or [np.zeros(0)]))
-        pair = np.unique(np.stack([np.concatenate(out_a or empty), np.concatenate(out_b or empty)]), axis=1)
-        a, b = np.minimum(known[pair[0]], known[pair[1]]), np.maximum(known[pair[0]], known[pair[1]])
-        member = known[np.concatenate(told or empty)]
-        kind = np.concatenate(kinds or empty)
-        n, m = len(a), len(member)
-        return pa.table(
-            {
-                "a": pa.array(np.concatenate([a, member])),
-                "b": pa.array(np.concatenate([b, np.zeros(m, np.int64)]), mask=np.arange(n + m) >= n),
-                "list_id": pa.array(np.concatenate([np.zeros(n, np.int64), kind]), mask=np.arange(n + m) < n),
-            }
-        )
+            for i, j in _index_pairs(k, COMPARED // w):
+                step = max(1, COMPARED // w // max(1, len(i)))
+                for c in range(0, len(which), step):
+                    rows = where[bounds[which[c : c + step]][:, None] + np.arange(k)]
+                    x, y = rows[:, i].ravel(), rows[:, j].ravel()
+                    apart = _bits_apart(sketch[row[x]], sketch[row[y]])
+                    good = _possible(size[x], size[y], apart, percent)
+                    x, y, apart = x[good], y[good], apart[good]
+                    # Folded to the shortest of the list, long sketches tell little; pairs of such are looked at in full.
+                    wide = np.minimum(words[x], words[y])
+                    for v in np.unique(wide[wide > w]).tolist():
+                        (full, at_row), p = folded[v], np.flatnonzero(wide == v)
+                        for u in np.array_split(p, 1 + len(p) * v // COMPARED):
+                            apart[u] = _bits_apart(full[at_row[x[u]]], full[at_row[y[u]]])
+                    good = _possible(size[x], size[y], apart, percent)
+                    held_a.append(np.minimum(x, y)[good])
+                    held_b.append(np.maximum(x, y)[good])
+                    held_far.append((apart / (size[x] + size[y]))[good])
+                    waiting += len(held_a[-1])
+                    if waiting > HELD_PAIRS:
+                        thin()
+                        waiting = 0
+        thin()
+        return pa.table({"a": pa.array(known[held_a[0]]), "b": pa.array(known[held_b[0]])})
 
     return run
 
@@ -460,20 +454,17 @@ def _families(pairs: DataFrame) -> DataFrame:
     return stored(connected_components(pairs), "jaccard-families")
 
 
-def _similar(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, families: DataFrame, percent: int, k: int) -> DataFrame:
-    """Links among the stored pairs (a, b), by exact intersection: at least those that make the same components.
+def _similar(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, placed: DataFrame, percent: int, k: int) -> DataFrame:
+    """Links among the pairs (a, b) of one family each, by exact intersection: at least those that make the same components.
 
-    Pairs of a family (node, component) are verified together, so that a set travels once and not with every pair; both ends
-    of a pair are in the same one. A family with more than BLOCK_SHINGLES shingles is dealt into blocks of its records by block.
+    Pairs of the same two blocks of a family (node, family, slot) are verified together, so that a set does not travel with
+    every pair.
     """
-    size = families.join(nodes.select("node", "n"), "node").groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
-    slot = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("slot")
-    placed = stored(families.join(size, "component").select("node", "component", slot), "jaccard-placed")
-    keyed = pairs.join(placed.select(F.col("node").alias("a"), "component", F.col("slot").alias("slot_a")), "a")
+    keyed = pairs.join(placed.select(F.col("node").alias("a"), "family", F.col("slot").alias("slot_a")), "a")
     keyed = keyed.join(placed.select(F.col("node").alias("b"), F.col("slot").alias("slot_b")), "b")
-    key = F.xxhash64("component", F.least("slot_a", "slot_b"), F.greatest("slot_a", "slot_b"))
+    key = F.xxhash64("family", F.least("slot_a", "slot_b"), F.greatest("slot_a", "slot_b"))
     keyed = stored(keyed.select("a", "b", key.alias("key")), "jaccard-keyed")
-    asked = keyed.select("key", F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked = keyed.select("key", "a").union(keyed.select("key", "b")).toDF("key", "node").distinct()
     sets = _sets(texts, nodes, asked, k)
     return keyed.groupBy("key").cogroup(sets.groupBy("key")).applyInArrow(_verify(percent), "a bigint, b bigint")
 
@@ -506,21 +497,154 @@ def _verify(percent: int):
     return run
 
 
-def _sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(key, node, shingles) of the wanted (key, node), made again from their texts.
+def _texts_of(texts: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of `wanted` (node, ...) with the texts of their nodes.
 
-    A node is the first hash of a class; where two classes share it by chance, both sets are compared.
+    A node is the first hash of a class; where two classes share it by chance, both have their texts. A repeated doc_id may
+    bring texts of other nodes.
     """
-    chosen = stored(nodes.join(wanted, "node").select("doc_id", "node", "key"), "jaccard-chosen")
-    picked = (
-        texts.join(chosen, "doc_id")
-        .withColumn("same", F.xxhash64("text"))
-        .dropDuplicates(["doc_id", "node", "key", "same"])  # repeated rows; the join has brought them together
-        .select("node", "text", "key")
-    )
+    chosen = stored(nodes.select("node", "doc_id").join(wanted, "node"), "jaccard-chosen")
+    # Repeated rows go; the join has brought them together.
+    same = texts.join(chosen, "doc_id").withColumn("same", F.xxhash64("text")).dropDuplicates(["doc_id", *wanted.columns, "same"])
+    return same.select(*wanted.columns, "text")
+
+
+def _sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(key, node, shingles) of the wanted (key, node), made again from their texts."""
+    picked = _texts_of(texts, nodes, wanted).select("node", "text", "key")
     return picked.mapInArrow(_sets_of(k), "key bigint, node bigint, shingles array<bigint>")
 
 
+def _group_sets(table: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, shingle hashes, offsets): the sets of those rows (node, text) whose text is the node's."""
+    node = table.column("node").to_numpy()
+    rows, sets, ends = [np.zeros(0, np.int64)], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    for i, flat, offsets in document_sets(table.column("text"), k):
+        own = sums_by(mix(flat + U64(1)), offsets).view(np.int64) == node[i : i + len(offsets) - 1]
+        rows.append(i + np.flatnonzero(own))
+        sets.append(flat[np.repeat(own, np.diff(offsets))])
+        ends.append(np.diff(offsets)[own])
+    return np.concatenate(rows), np.concatenate(sets), np.concatenate([[0], np.cumsum(np.concatenate(ends))]).astype(np.int64)
+
+
+def _places(offsets: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the items of the sets `which` stand, one set after the other, and the offsets of these."""
+    at = np.concatenate([[0], np.cumsum(offsets[which + 1] - offsets[which])])
+    return np.arange(at[-1]) + np.repeat(offsets[which] - at[:-1], np.diff(at)), at
+
+
+def unite(flat: np.ndarray, offsets: np.ndarray, component: np.ndarray, percent: int, asks: np.ndarray | None = None):
+    """Links (x, y) that join the components of similar sets, and the components after them.
+
+    Every set is compared with all later ones, or each that asks with all that do not, unless they are joined already. A
+    look at sketches of one length spares most intersections.
+    """
+    m, sizes = len(offsets) - 1, np.diff(offsets)
+    component = component.copy()
+    _, token = np.unique(flat, return_inverse=True)
+    marked = np.zeros(len(flat), bool)
+    w = 2 ** min(max(int(sizes.max()).bit_length() - 5, 0), int(math.log2(SKETCH_WORDS)))
+    sketch = np.zeros(m * w, U64)
+    bit = mix(flat + U64(3)) & U64(w * 64 - 1)
+    at = np.repeat(np.arange(m) * w, sizes) + (bit >> U64(6)).astype(np.int64)
+    np.bitwise_xor.at(sketch, at, U64(1) << (bit & U64(63)))
+    sketch = sketch.reshape(m, w)
+    links = []
+    others = np.arange(m) if asks is None else np.flatnonzero(~asks)
+    for x in range(m) if asks is None else np.flatnonzero(asks).tolist():
+        near = others[x + 1 :] if asks is None else others
+        near = near[component[near] != component[x]]
+        apart = _bits_apart(sketch[near], sketch[x])
+        near = near[_possible(sizes[near], sizes[x], apart, percent)]
+        if not len(near):
+            continue
+        own = token[offsets[x] : offsets[x + 1]]
+        marked[own] = True
+        places, at = _places(offsets, near)
+        common = sums_by(marked[token[places]].astype(np.int64), at)
+        marked[own] = False
+        near = near[100 * common >= percent * (sizes[near] + sizes[x] - common)]
+        joined, first = np.unique(component[near], return_index=True)
+        if len(joined):
+            links += [(x, y) for y in near[first].tolist()]
+            component[np.isin(component, joined)] = component[x]
+    return links, component
+
+
+def _inside(percent: int, k: int):
+    """(node, component) of the members of each family or block of one; component is its least node."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("family", "ascending"), ("slot", "ascending"), ("node", "ascending")])
+        rows, flat, offsets = _group_sets(table, k)
+        node, family, slot = (table.column(c).to_numpy()[rows] for c in ("node", "family", "slot"))
+        fresh = (family[1:] != family[:-1]) | (slot[1:] != slot[:-1])
+        cuts = np.concatenate([[0], np.flatnonzero(fresh) + 1, [len(rows)]]) if len(rows) else [0]
+        component = np.zeros(len(rows), np.int64)
+        for i, j in zip(cuts, cuts[1:]):
+            # Nodes ascend, so the first of a component is its least.
+            _, found = unite(flat[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], node[i:j], percent)
+            _, first, of = np.unique(found, return_index=True, return_inverse=True)
+            component[i:j] = node[i:j][first[of]]
+        _, first = np.unique(node, return_index=True)
+        return pa.table({"node": pa.array(node[first]), "component": pa.array(component[first])})
+
+    return run
+
+
+def _between(percent: int, k: int):
+    """Links (a, b) of a block's members that ask with those of another that do not, across components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows, flat, offsets = _group_sets(table, k)
+        node, component, asks = (table.column(c).to_numpy(zero_copy_only=False)[rows] for c in ("node", "component", "asks"))
+        links, _ = unite(flat, offsets, component, percent, asks) if len(rows) else ([], None)
+        a, b = (node[[link[i] for link in links]] if links else np.zeros(0, np.int64) for i in (0, 1))
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    return run
+
+
+def _blocks() -> Column:
+    return F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_SETS))
+
+
+def _united(texts: DataFrame, nodes: DataFrame, closest: DataFrame, families: DataFrame, percent: int, k: int, buckets: int) -> DataFrame:
+    """(node, component) of the members of `families` (node, component): the exact components within each.
+
+    Texts travel once. In a family of several blocks the pairs `closest` that lead from one to another join what is alike, and
+    then only members outside the family's largest component travel to the other blocks.
+    """
+    sized = families.select("node", F.col("component").alias("family")).join(nodes.select("node", "n"), "node")
+    size = sized.groupBy("family").agg(_blocks().alias("blocks"))
+    placed = sized.select("node", "family").distinct().join(size, "family")
+    placed = stored(placed.withColumn("slot", F.pmod(F.xxhash64("node"), F.col("blocks"))), "jaccard-placed")
+    key = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(buckets))).otherwise(F.xxhash64("family", "slot"))
+    members = _texts_of(texts, nodes, placed.select("node", "family", "slot", key.alias("key")))
+    inside = members.groupBy("key").applyInArrow(_inside(percent, k), "node bigint, component bigint")
+    inside = stored(inside, "components")
+    large = placed.filter("blocks > 1")
+    if large.isEmpty():
+        return inside
+
+    at = stored(large.join(inside, "node"), "jaccard-large")
+    cross = closest.join(at.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a")
+    cross = cross.join(at.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b").filter("ca <> cb").select("a", "b")
+    components = _merged(inside, _similar(texts, nodes, cross, large, percent, k))
+    at = large.join(components, "node").join(nodes.groupBy("node").agg(F.max("n").alias("n")), "node")
+    top = at.groupBy("family", "component").agg(F.count("*").alias("c")).groupBy("family").agg(F.max_by("component", F.struct("c", "component")).alias("top"))
+    at = stored(at.join(top, "family").withColumn("asks", F.col("component") != F.col("top")), "jaccard-large")
+    asking = at.filter("asks").groupBy("family").agg(_blocks().alias("asking"))
+    at = at.join(asking, "family")
+    first = F.sequence(F.lit(0).cast("bigint"), F.col("asking") - 1)
+    others = at.withColumn("asks", F.lit(False)).withColumn("first", F.explode(first)).withColumn("second", F.col("slot"))
+    second = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+    those = at.filter("asks").withColumn("first", F.pmod(F.xxhash64("node"), F.col("asking"))).withColumn("second", F.explode(second))
+    wanted = others.unionByName(those).select("node", "component", "asks", F.xxhash64("family", "first", "second").alias("key"))
+    links = _texts_of(texts, nodes, wanted).groupBy("key").applyInArrow(_between(percent, k), "a bigint, b bigint")
+    return _merged(components, links)
+
+
 def _with_component(nodes: DataFrame, components: DataFrame) -> DataFrame:
     return nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
@@ -536,7 +660,7 @@ def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _rare_prefix_pairs(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of `nodes` (node, component, sketch) across components that share one of their rarest shingles.
+    """Pairs of `nodes` (node, component, sketch) across components, here families, that share one of their rarest shingles.
 
     Two sets of similarity p/100 share a shingle within the first size - ceil(size * p / 100) + 1 of each, in any
     order that is common to all sets; rarest first keeps the lists short.
@@ -596,46 +720,26 @@ def jaccard_components(docs: DataFrame, percent: int = 75, k: int = 5, parts: in
     )
     nodes = classes.select(F.col("h1").alias("node"), "h2", "doc_id", "n", "sketch")
     lists = found.filter("list_id IS NOT NULL").select("part", "list_id", "members")
-    asked = stored(lists.select(F.col("part").alias("where"), F.explode("members").alias("node")).distinct(), "jaccard-asked")
-
-    def look(components: DataFrame | None) -> DataFrame:
-        told = nodes.select("node", "n", "sketch")
-        told = told.withColumn("component", F.col("node")) if components is None else _with_component(told, components)
-        told = asked.join(told, "node").select("where", "node", "n", "sketch", "component")
-        looked = lists.groupBy("part").cogroup(told.groupBy("where"))
-        looked = looked.applyInArrow(_possible(percent, components is None), "a bigint, b bigint, list_id bigint")
-        return stored(looked, "jaccard-possible")
-
-    # The closest pairs of each part link nearly all that belongs together; then the pairs that are still apart.
-    closest = stored(look(None).select("a", "b").distinct(), "jaccard-closest")
+    asked = lists.select(F.col("part").alias("where"), F.explode("members").alias("node")).distinct()
+    told = asked.join(nodes.select("node", "n", "sketch"), "node").select("where", "node", "n", "sketch")
+    looked = lists.groupBy("part").cogroup(told.groupBy("where")).applyInArrow(_closest(percent), "a bigint, b bigint")
+    closest = stored(looked.distinct(), "jaccard-closest")
     families = _families(closest)  # and of all possible pairs, which these connect
-    components = stored(connected_components(_similar(texts, nodes, closest, families, percent, k)), "components")
-    looked = look(components)
-    pairs = looked.filter("list_id IS NULL").select("a", "b").distinct()
-    pairs = stored(pairs.join(closest, ["a", "b"], "left_anti"), "jaccard-pairs")
-    components = _merged(components, _similar(texts, nodes, pairs, families, percent, k))
-
-    # What is left: pairs of dense lists whose components differ, long lists, uncovered records.
-    dense = looked.filter("list_id <> -1").select("list_id", F.col("a").alias("node")).distinct()
-    placed = _with_component(dense, components)
-    mixed = placed.groupBy("list_id", "component").agg(F.count("*").cast("double").alias("c"))
-    mixed = mixed.groupBy("list_id").agg(((F.sum("c") ** 2 - F.sum(F.col("c") ** 2)) / 2).alias("pairs")).filter("pairs > 0")
-    placed = stored(placed.join(mixed, "list_id"), "jaccard-mixed")
-    short = placed.filter(F.col("pairs") <= MAX_LIST_PAIRS)
-    other = short.select("list_id", F.col("node").alias("b"), F.col("component").alias("cb"))
-    across = (
-        short.join(other, "list_id")
-        .filter("component < cb")
-        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        .distinct()
-    )
-    rest = placed.filter(F.col("pairs") > MAX_LIST_PAIRS).select("node")
-    rest = rest.union(looked.filter("list_id = -1").select("a")).union(classes.filter("NOT covered").select("h1"))
-    rest = stored(_with_component(rest.distinct(), components), "jaccard-rest")
-    sets = stored(_sets(texts, nodes, rest.select("node", F.lit(0).cast("bigint").alias("key")), k), "jaccard-sets")
-    across = across.union(_rare_prefix_pairs(sets, rest.join(nodes.select("node", "sketch"), "node"), percent)).distinct()
-    across = stored(across.join(pairs, ["a", "b"], "left_anti"), "jaccard-across")
-    components = _merged(components, _similar(texts, nodes, across, _families(across), percent, k))
+    components = _united(texts, nodes, closest, families, percent, k, parts)
+
+    # What is left: long lists of several families, and uncovered records. All within a family have been compared.
+    long = lists.groupBy("part", "list_id").agg(F.sum(F.size("members")).alias("k")).filter(F.col("k") > MAX_LIST).drop("k")
+    long = lists.join(long, ["part", "list_id"]).select("list_id", F.explode("members").alias("node")).distinct()
+    long = stored(_with_component(long, families), "jaccard-long")
+    mixed = long.groupBy("list_id").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 <> c2")
+    rest = long.join(mixed, "list_id", "left_semi").select("node").union(classes.filter("NOT covered").select("h1"))
+    rest = stored(_with_component(rest.distinct(), families), "jaccard-rest")
+    if rest.limit(2).count() == 2:
+        sets = stored(_sets(texts, nodes, rest.select("node", F.lit(0).cast("bigint").alias("key")), k), "jaccard-sets")
+        across = stored(_rare_prefix_pairs(sets, rest.join(nodes.select("node", "sketch"), "node"), percent), "jaccard-across")
+        if not across.isEmpty():
+            again = _united(texts, nodes, across, _families(across), percent, k, parts)
+            components = _merged(components, again.toDF("a", "b"))
 
     nodes = nodes.select("node", "h2", "doc_id")
     tops = _with_component(nodes, components).groupBy("component").agg(F.min("doc_id").alias("component_id"))

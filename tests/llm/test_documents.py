@@ -96,6 +96,96 @@ def test_jaccard_components(docs, texts, none):
     assert jaccard_components(none).collect() == []
 
 
+def family_texts(r):
+    """Copies of two texts with some to many words changed, others that share a passage of theirs, and short ones."""
+    vocabulary = [f"w{i}" for i in range(5000)]
+    prose = lambda n: [vocabulary[i] for i in r.integers(0, 5000, n)]
+    out = []
+    for base in (prose(90), prose(150)):
+        for changed in r.integers(0, 9, 70):
+            w = list(base)
+            for k in r.integers(0, len(w), changed):
+                w[k] = f"x{r.integers(0, 10**6)}"
+            out.append(" ".join(w))
+        out += [" ".join(base[:30] + prose(int(r.integers(20, 200)))) for _ in range(30)]
+    return out + [" ".join(prose(int(n))) for n in r.integers(1, 9, 30)]
+
+
+def components_by_brute_force(texts):
+    sets = [frozenset(tuple(t.split()[j : j + 5]) for j in range(max(1, len(t.split()) - 4))) for t in texts]
+    root = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = [low if x == high else x for x in root]
+    return root
+
+
+@pytest.mark.parametrize("blocks, lists", [(4_000, 4_000), (9, 4_000), (9, 12)])
+def test_jaccard_families_in_blocks(spark, monkeypatch, blocks, lists):
+    from stratalake.llm import jaccard
+
+    share_package(spark)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", blocks, raising=False)
+    texts = family_texts(np.random.default_rng(11))
+    if lists < 4_000:  # seen by the workers too
+        runs = jaccard._closest
+
+        def shortened(percent):
+            run = runs(percent)
+
+            def with_limit(key, lists_, nodes):
+                usual = jaccard.MAX_LIST, jaccard.PIVOTS
+                jaccard.MAX_LIST, jaccard.PIVOTS = lists, 2
+                try:
+                    return run(key, lists_, nodes)
+                finally:
+                    jaccard.MAX_LIST, jaccard.PIVOTS = usual
+
+            return with_limit
+
+        monkeypatch.setattr(jaccard, "_closest", shortened)
+        monkeypatch.setattr(jaccard, "MAX_LIST", lists)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(df).collect()}
+    assert got == dict(enumerate(components_by_brute_force(texts)))
+
+
+def test_shared_passage_makes_no_pairs(spark, monkeypatch):
+    """Sketches that were folded to the shortest of a list took long texts with a passage in common for possible pairs."""
+    from stratalake.llm import jaccard
+
+    share_package(spark)
+    r = np.random.default_rng(3)
+    line = " ".join(f"line{i}" for i in range(12))
+    texts = [line + "".join(f" v{i}" for i in r.integers(0, 10**6, n)) for n in [*r.integers(100, 125, 30), *r.integers(225, 260, 60)]]
+    counts, stored = {}, jaccard.stored
+
+    def counted(df, label):
+        out = stored(df, label)
+        counts[label] = counts.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert jaccard_components(df).filter("doc_id <> component_id").isEmpty()
+    assert counts["jaccard-closest"] == 0
+
+
+def test_unite_compares_those_that_ask():
+    from stratalake.llm.jaccard import unite
+
+    r = np.random.default_rng(8)
+    base = np.unique(r.integers(0, 2**63, 40).astype(np.uint64))
+    sets = [base, base[:-3], base[:28], np.unique(r.integers(0, 2**63, 40).astype(np.uint64))]
+    flat, offsets = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    links, component = unite(flat, offsets, np.arange(4), 75)
+    assert sorted(links) == [(0, 1), (1, 2)] and len(set(component.tolist())) == 2 and component[0] == component[2]
+    links, _ = unite(flat, offsets, np.arange(4), 75, np.array([True, False, True, False]))
+    assert sorted(links) == [(0, 1), (2, 1)]
+    assert unite(flat, offsets, np.array([5, 5, 5, 6]), 75)[0] == []
+
+
 @pytest.mark.parametrize("size", [3, 4, 6, 9, 20, 60, 200])
 def test_similar_sets_share_a_published_hash(size):
     r = np.random.default_rng(size)
